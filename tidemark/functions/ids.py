@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import to_event_time
-from tidemark.functions.text import strip_utc
+from tidemark.functions.text import plain_time, strip_utc
 
 
 def _number_text(text: Column) -> Column:
@@ -16,7 +16,7 @@ def _number_text(text: Column) -> Column:
 
 def _time_text(text: Column) -> Column:
     """Times in one form whatever the source wrote ('T', ' UTC', '.500'), other text without its suffix."""
-    return F.coalesce(to_event_time(text).cast("string"), strip_utc(text))
+    return F.coalesce(plain_time(text), to_event_time(text).cast("string"), strip_utc(text))
 
 
 def event_id(

@@ -36,7 +36,15 @@ def known_or_unknown(text: Column) -> Column:
 
 def strip_whitespace(text: Column) -> Column:
     """Trim every kind of whitespace, not only spaces."""
-    return F.trim(text, F.lit(WHITESPACE))
+    trimmed = F.trim(text)
+    # Trimming by a character list is slow. It is not needed between two printable ASCII characters.
+    clean = F.ascii(trimmed).between(0x21, 0x7E) & F.ascii(F.right(trimmed, F.lit(1))).between(0x21, 0x7E)
+    return F.when(clean, trimmed).otherwise(F.trim(text, F.lit(WHITESPACE)))
+
+
+def plain_time(text: Column) -> Column:
+    """The first 19 characters of times in the usual form, '2019-10-01 00:00:00' with or without ' UTC'; else NULL."""
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d( UTC)?$"), F.substring(text, 1, 19))
 
 
 def strip_utc(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.clock import as_of_column
-from tidemark.functions import UNKNOWN, known_or_unknown, percent, strip_utc, strip_whitespace, to_double
+from tidemark.functions import UNKNOWN, known_or_unknown, percent, plain_time, strip_utc, strip_whitespace, to_double
 from tidemark.operators.incremental import incremental_delta
 from tidemark.schemas import MARKETING_REPORT
 
@@ -99,10 +99,13 @@ def raw_marketing_mart(raw: DataFrame, as_of: datetime | None, on_bad_price: str
     def bucket(text: Column) -> Column:
         return F.coalesce(F.nullif(strip_whitespace(text), F.lit("")), F.lit(UNKNOWN))
 
-    time = F.try_to_timestamp(strip_utc(F.col("event_time")), F.lit("yyyy-MM-dd HH:mm:ss"))
+    # The usual form needs no pattern parser; the parser decides on everything else.
+    usual = plain_time(F.col("event_time"))
+    parsed = F.try_to_timestamp(strip_utc(F.col("event_time")), F.lit("yyyy-MM-dd HH:mm:ss"))
+    time = F.when(usual.isNotNull(), usual.try_cast("timestamp_ntz")).otherwise(parsed.cast("timestamp_ntz"))
     return (
         raw.select(
-            F.to_date(time.cast("timestamp_ntz")).alias("report_date"),
+            F.to_date(time).alias("report_date"),
             bucket(F.col("brand")).alias("brand"),
             bucket(F.split_part("category_code", F.lit("."), F.lit(1))).alias("category_l1"),
             "event_type",

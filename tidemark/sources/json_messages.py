@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import EVENT, EVENT_COLUMNS
@@ -10,29 +10,25 @@ from tidemark.schemas import EVENT, EVENT_COLUMNS
 _CORRUPT = "_corrupt"
 
 
-def _message() -> Column:
-    return F.trim(F.col("value").cast("string"), F.lit(" \t\r\n"))
-
-
 def _parsed(messages: DataFrame) -> DataFrame:
-    """Adds ``_text``, ``_event`` and ``_valid``: UTF-8, one JSON object, parsed without error."""
-    text = _message()
+    """``value``, the event's columns, and ``_valid``: UTF-8, one JSON object, parsed without error."""
+    text = F.col("value").cast("string")
+    # The pattern only looks at messages with whitespace around the object, and at malformed ones.
+    braces = F.when(text.startswith("{") & text.endswith("}"), True).otherwise(text.rlike(r"(?s)^\s*\{.*\}\s*$"))
+    one_object = braces & F.is_valid_utf8(text)
     schema = ", ".join(f"{c} string" for c in (*EVENT_COLUMNS, _CORRUPT))
-    parsed = messages.withColumn("_text", text).withColumn(
-        "_event", F.from_json("_text", schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    )
-    valid = (
-        F.is_valid_utf8("_text")
-        & F.startswith("_text", F.lit("{"))
-        & F.endswith("_text", F.lit("}"))
-        & F.col(f"_event.{_CORRUPT}").isNull()
+    event = F.from_json("_text", schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    # Taking the struct apart as a generator parses each message once, not once per column.
+    return (
+        messages.select("value", text.alias("_text"), F.coalesce(one_object, F.lit(False)).alias("_one_object"))
+        .select("value", "_one_object", F.inline(F.array(event)))
+        .withColumn("_valid", F.col("_one_object") & F.col(_CORRUPT).isNull())
     )
-    return parsed.withColumn("_valid", F.coalesce(valid, F.lit(False)))
 
 
 def decode_events(messages: DataFrame) -> DataFrame:
     """Well-formed messages of ``value`` as text columns; absent keys and '' are NULL, other keys ignored."""
-    fields = [F.nullif(F.col(f"_event.{c}"), F.lit("")).alias(c) for c in EVENT.names]
+    fields = [F.nullif(F.col(c), F.lit("")).alias(c) for c in EVENT.names]
     return _parsed(messages).filter("_valid").select(*fields)
 
 

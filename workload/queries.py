@@ -178,14 +178,14 @@ def _fact_after_run_1(rows: DataFrame) -> DataFrame:
     return fact_events(until(rows, RUN_1), RUN_1)
 
 
-def _fact_after_run_2(rows: DataFrame) -> DataFrame:
-    before = written(_fact_after_run_1(rows))
+def _fact_after_run_2(rows: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    before = before or written(_fact_after_run_1(rows))
     delta = incremental_delta(rows, "_ingested_at", before, "_loaded_at")
-    return before.unionByName(fact_events(delta, RUN_2, existing=before))
+    return before.unionByName(written(fact_events(delta, RUN_2, existing=before)))
 
 
-def _dimension_after_run_2(rows: DataFrame, latest, key: str) -> DataFrame:
-    before = written(latest(until(rows, RUN_1)))
+def _dimension_after_run_2(rows: DataFrame, latest, key: str, before: DataFrame | None = None) -> DataFrame:
+    before = before or written(latest(until(rows, RUN_1)))
     delta = incremental_delta(rows, "_ingested_at", before, "_updated_at")
     return upsert(before, latest(delta), [key])
 
@@ -193,10 +193,11 @@ def _dimension_after_run_2(rows: DataFrame, latest, key: str) -> DataFrame:
 def _two_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Fact and product dimension after run 2, and the mart after run 1."""
     rows = written(bronze(spark, sf_dir))
-    fact = written(_fact_after_run_2(rows))
-    products = written(_dimension_after_run_2(rows, dim_products, "product_id"))
-    fact_1 = fact.filter(F.col("_loaded_at") == F.lit(RUN_1.isoformat(sep=" ")).cast("timestamp"))
-    mart = written(marketing_report(fact_1, dim_products(until(rows, RUN_1)), RUN_1))
+    fact_1 = written(_fact_after_run_1(rows))
+    products_1 = written(dim_products(until(rows, RUN_1)))
+    mart = written(marketing_report(fact_1, products_1, RUN_1))
+    fact = _fact_after_run_2(rows, fact_1)
+    products = _dimension_after_run_2(rows, dim_products, "product_id", products_1)
     return fact, products, mart
 
 
@@ -324,7 +325,7 @@ _metric_query("dq_invalid_purchase_price", quality.INVALID_PRICES)
 
 @query("dq_pipeline_metrics")
 def dq_pipeline_metrics(spark, sf_dir):
-    fact = written(_fact_after_run_2(written(bronze(spark, sf_dir, dirty=True))))
+    fact = _fact_after_run_2(written(bronze(spark, sf_dir, dirty=True)))
     return metrics_by_name(quality.dq_metrics(fact, MEASURED))
 
 
@@ -338,7 +339,7 @@ def check_completeness(spark, sf_dir):
 @query("dup_event_ids")
 def dup_event_ids(spark, sf_dir):
     """On a fact that holds every tenth product's events twice."""
-    fact = written(_fact_after_run_2(written(bronze(spark, sf_dir))))
+    fact = _fact_after_run_2(written(bronze(spark, sf_dir)))
     return quality.duplicate_event_ids(fact.unionByName(fact.filter("product_id % 10 = 0")))
 
 
