@@ -174,9 +174,7 @@ class Warehouse:
             return
         # Equal ids have equal event times, so history is read on the delta's dates only.
         history = self._on_dates(self.fact.read(), "event_date", self._dates(staged))
-        fresh = anti_append(staged, history, "event_id", count)
-        if not fresh.isEmpty():
-            self.fact.append(fresh, load)
+        self.fact.append(anti_append(staged, history, "event_id", count), load)
 
     def _build_dimension(self, table: LoadTable, latest, key: str, load: str, full_refresh: bool) -> None:
         if table.labels() == [load]:
