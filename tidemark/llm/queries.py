@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, sharding
+from tidemark.llm import bpe, packing, sharding
 from tidemark.llm.common import table
 
 SHARDS = 16
@@ -19,6 +19,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN, with_ids=False)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
     return placed.withColumn("law", F.lit("key"))
@@ -26,6 +32,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
 }
 
