@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, quality, sharding
+from tidemark.llm import bpe, licenses, packing, quality, sharding
 from tidemark.llm.common import table
 
 SHARDS = 16
@@ -34,11 +34,16 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op6_quality": op6_quality,
+    "op7_licenses": op7_licenses,
 }
 
 ORACLE: dict[str, str] = {
