@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, licenses, packing, quality, sharding
+from tidemark.llm import bpe, language, licenses, packing, quality, sharding
 from tidemark.llm.common import table
 
 SHARDS = 16
@@ -30,6 +30,17 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("key"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.TextModel.fit(docs)
+    found = ("language", "confidence", "known")
+    of_docs = language.of_documents(docs, model).select("doc_id", F.lit(None).cast("long").alias("page_id"), *found)
+    of_pages = language.of_pages(table(spark, sf_dir, "pages"), model).select(
+        F.lit(None).cast("long").alias("doc_id"), "page_id", *found
+    )
+    return of_docs.unionByName(of_pages).withColumnRenamed("known", "kept")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -42,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
+    "op4_language": op4_language,
     "op6_quality": op6_quality,
     "op7_licenses": op7_licenses,
 }
