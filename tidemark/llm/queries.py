@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, licenses, packing, quality, sharding
+from tidemark.llm import bpe, language, licenses, near_duplicates, packing, quality, sharding
 from tidemark.llm.common import table
 
 SHARDS = 16
@@ -49,6 +49,10 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.deduplicate(table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op6_quality": op6_quality,
     "op7_licenses": op7_licenses,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {
