@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, licenses, near_duplicates, packing, quality, sharding
+from tidemark.llm import bpe, embeddings, language, licenses, near_duplicates, packing, quality, sharding
 from tidemark.llm.common import table
 
 SHARDS = 16
@@ -41,6 +41,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_docs.unionByName(of_pages).withColumnRenamed("known", "kept")
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.deduplicate(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op4_language": op4_language,
+    "op5_embeddings": op5_embeddings,
     "op6_quality": op6_quality,
     "op7_licenses": op7_licenses,
     "op8_near_duplicates": op8_near_duplicates,
