@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embeddings, language, licenses, near_duplicates, packing, quality, sharding
+from tidemark.llm import bpe, embeddings, language, licenses, near_duplicates, packing, quality, repeats, sharding
 from tidemark.llm.common import table
 
 SHARDS = 16
@@ -57,6 +57,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.deduplicate(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.measure(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_licenses": op7_licenses,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_repeats": op9_repeats,
 }
 
 ORACLE: dict[str, str] = {
