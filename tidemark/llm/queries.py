@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embeddings, language, licenses, near_duplicates, packing, quality, repeats, sharding
+from tidemark.llm import bpe, embeddings, language, licenses, near_duplicates, packing, quality, repeats, scoring, sharding
 from tidemark.llm.common import table
 
 SHARDS = 16
@@ -61,6 +61,10 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.measure(table(spark, sf_dir, "documents"))
 
 
+def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_licenses": op7_licenses,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeats": op9_repeats,
+    "op10_scoring": op10_scoring,
 }
 
 ORACLE: dict[str, str] = {

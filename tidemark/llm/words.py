@@ -11,6 +11,15 @@ import numpy as np
 CACHED_CHUNKS = 700_000
 
 
+class _Known(dict):
+    """Ids by chunk; what is no longer remembered is looked up among the chunks of the current call."""
+
+    fresh: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        return self.fresh[chunk]
+
+
 class WordTokens:
     """Encodes texts with a tokenizer of the ``tokenizers`` library that drops white space and never joins across it.
 
@@ -24,20 +33,18 @@ class WordTokens:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = _Known({"": b""})
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks not seen so far. ASCII chunks share the work for their lower-case core without the
-        punctuation that ends them, which is always a pre-token of its own."""
+        """Ids of chunks not seen so far. Those that differ only in the punctuation behind their last letter or digit
+        (always a pre-token of its own) share the work; so do ASCII ones that differ in case."""
         parts: dict[str, tuple[str, ...]] = {}
         wanted: set[str] = set()
         for chunk in chunks:
-            if chunk.isascii():
-                low = chunk.lower()
-                core = low.rstrip(string.punctuation)
-                parts[chunk] = (core, low[len(core) :]) if core and len(core) < len(low) else (low,)
-            else:
-                parts[chunk] = (chunk,)
+            low = chunk.lower() if chunk.isascii() else chunk
+            core = low.rstrip(string.punctuation)
+            cut = core and len(core) < len(low) and core[-1].isalnum()
+            parts[chunk] = (core, low[len(core) :]) if cut else (low,)
             wanted.update(p for p in parts[chunk] if p not in self.known)
         new = list(wanted)
         found = {
@@ -55,8 +62,6 @@ class WordTokens:
         """The ids of each text of an Arrow string array, as little-endian unsigned 32-bit integers; null is empty."""
         texts = [("" if t is None else t).replace("\n", " ").split(" ") for t in column.to_pylist()]
         known = self.known
-        new = {c for chunks in texts for c in chunks if c not in known}
-        fresh = self._learn(new) if new else {}
-        if not fresh:
-            return [b"".join([known[c] for c in chunks]) for chunks in texts]
-        return [b"".join([known[c] if c in known else fresh[c] for c in chunks]) for chunks in texts]
+        new = set().union(*texts) - known.keys()
+        known.fresh = self._learn(new) if new else {}
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in texts]
