@@ -25,9 +25,9 @@ SPAN = LENGTH - GRAM + 1
 LEFT = LENGTH - GRAM
 # A suffix as it is sorted: LENGTH bytes from the anchor on, LEFT bytes before it backwards, and how many of each exist.
 ITEM = LENGTH + LEFT + 2
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 # Text in MB for each group of anchor hashes, and for each key range of suffixes.
-HASH_GROUP_MB, RANGE_MB = 64, 32
+HASH_GROUP_MB, RANGE_MB = 32, 16
 # Anchors looked at to lay the borders of the key ranges; they set the balance, never the result.
 SAMPLE_TEXTS = 400
 _ROW = ("id", "d1", "d2")
@@ -483,7 +483,8 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         body.alias("text"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("_row"),
     )
-    sized = rows.where("id IS NOT NULL").select(*_ROW, "text")
+    named = rows.where("id IS NOT NULL")
+    sized = named.select(*_ROW, "text")
     megabytes = spread(sized, 1, F.octet_length("text"))
     groups, ranges = -(-megabytes // HASH_GROUP_MB), -(-megabytes // RANGE_MB)
     equal = sized.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -493,10 +494,13 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     masks = saved(_shared_anchors(sized, groups).join(later, list(_ROW), "left_anti"))
     later = saved(later)
     borders = _borders(sized, ranges)
-    met = rows.join(masks.hint("shuffle_hash"), list(_ROW)).select(*_ROW, "text", "mask")
+    # Both joins read the same rows, so the texts are shuffled once.
+    met = named.join(masks.hint("shuffle_hash"), list(_ROW)).select(*_ROW, "text", "mask")
     covered = _covered(_merged(_runs(met, borders, groups)))
     plan = covered.unionByName(later.withColumn("ranges", F.lit(b"all")))
-    return rows.join(plan.hint("shuffle_hash"), list(_ROW), "left").select("id", "text", "_row", "ranges")
+    out = named.join(plan.hint("shuffle_hash"), list(_ROW), "left").select("id", "text", "_row", "ranges")
+    rest = rows.where("id IS NULL").select("id", "text", "_row", F.lit(None).cast("binary").alias("ranges"))
+    return out.unionByName(rest)
 
 
 def _cut(data: bytes, ranges: bytes | None) -> tuple[bytes, int, int]:
