@@ -29,7 +29,7 @@ SLICE_BYTES = 2 << 20
 # Buckets up to this size give all their pairs. Of larger ones the links to one member come first, then only what
 # is still apart is compared, block by block.
 SMALL_BUCKET = 32
-BLOCK = 1_000
+BLOCK = 400
 # Pairs whose signatures agree less, by so much of similarity, are not worth an exact look: over five standard errors.
 ESTIMATE_SLACK = 0.15
 ID_BUCKETS = 1 << 18
@@ -187,7 +187,8 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
 
     Of each distinct set only its smallest id takes part. Buckets of a few members are compared pair by pair. In a
     larger bucket all are first compared with its smallest member; whoever is still in another component is then
-    compared with the rest in blocks, and only pairs across components that their signatures support are looked at.
+    compared with the rest in blocks of full sets: each set goes to a block once, not once a pair, and of the links
+    found only those come back that join components.
     """
     least = percent / 100 - ESTIMATE_SLACK
     nodes = saved(
@@ -213,15 +214,18 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
     )
     apart = joined.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_rows = joined.join(apart.select("bucket"), "bucket", "left_semi").join(sketches, "node")
-    dealt = open_rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
+    open_rows = saved(joined.join(apart.select("bucket"), "bucket", "left_semi"))
+    if open_rows.isEmpty():
+        return confirmed
+    sets = _full_sets(docs, open_rows.select("node").distinct(), key, text, k)
+    dealt = open_rows.join(sets, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
         "*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     )
     dealt = dealt.select(
         "bucket",
         "node",
         "component",
-        "sketch",
+        "shingles",
         "block",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
@@ -230,26 +234,35 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
     def compare(group):
         import pandas as pd
 
-        a = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
-        node, comp, block = (group[c].to_numpy() for c in ("node", "component", "block"))
-        same_block = group["i"].iloc[0] == group["j"].iloc[0]
+        node, label, block = (group[c].to_numpy() for c in ("node", "component", "block"))
+        label = np.unique(label, return_inverse=True)[1]
+        sets = [np.asarray(x) for x in group["shingles"]]
+        size = np.array([len(x) for x in sets])
+        number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        borders = np.concatenate([[0], np.cumsum(size)])
+        crossing = group["i"].iloc[0] != group["j"].iloc[0]
+        mark = np.zeros(number.max() + 1, np.int64)
         out = []
         for r in range(len(group) - 1):
-            rest = slice(r + 1, None)
-            far = comp[rest] != comp[r]
-            if not same_block:
-                far &= block[rest] != block[r]
-            at = np.flatnonzero(far)
-            if len(at):
-                hit = at[(a[rest][at] == a[r]).mean(1) >= least]
-                out.extend((min(node[r], node[r + 1 + h]), max(node[r], node[r + 1 + h])) for h in hit)
+            far = label != label[r]
+            far[: r + 1] = False
+            if crossing:
+                far &= block != block[r]
+            if not far.any():
+                continue
+            own = number[borders[r] : borders[r + 1]]
+            mark[own] = 1
+            inner = np.add.reduceat(mark[number], borders[:-1])
+            mark[own] = 0
+            # One link to each other component is enough; from then on the two are one.
+            for h in np.flatnonzero(far & (100 * inner >= percent * (size + size[r] - inner))).tolist():
+                if label[h] != label[r]:
+                    out.append((min(node[r], node[h]), max(node[r], node[h])))
+                    label[label == label[h]] = label[r]
         return pd.DataFrame(out, columns=["a", "b"])
 
     kind = docs.schema[key].dataType.simpleString()
-    left = saved(dealt.groupBy("bucket", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}").distinct())
-    if left.isEmpty():
-        return confirmed
-    return confirmed.unionByName(_confirmed(left, docs, key, text, k, percent))
+    return confirmed.unionByName(dealt.groupBy("bucket", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}"))
 
 
 def deduplicate(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
@@ -276,3 +289,24 @@ def deduplicate(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: s
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the document with the smallest id, all columns kept.
+
+    Rows that repeat an id are one document, of which one row stays. Rows with a null id stay. Only texts whose id
+    shares a bucket with an id that goes are shuffled.
+    """
+    judged = saved(deduplicate(docs, percent, key, text).select(F.col(key).alias("_id"), "kept"))
+    gone = judged.where("NOT kept").select("_id").distinct()
+    again = judged.where("kept AND _id IS NOT NULL").groupBy("_id").count().where("count > 1").select("_id")
+    bucket = F.pmod(F.xxhash64("_id"), F.lit(ID_BUCKETS)).alias("_bucket")
+    touched = F.broadcast(gone.unionByName(again).select(bucket).distinct())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_id"))
+    rows = rows.select("*", bucket)
+    sure = rows.join(touched, "_bucket", "left_anti")
+    open_rows = rows.join(touched, "_bucket", "left_semi").join(gone, "_id", "left_anti")
+    if not again.isEmpty():
+        twice = open_rows.join(again, "_id", "left_semi").groupBy("_id").agg(F.first("_row").alias("_row"))
+        open_rows = open_rows.join(again, "_id", "left_anti").select("_id", "_row").unionByName(twice)
+    return sure.select("_row.*").unionByName(open_rows.select("_row.*"))
