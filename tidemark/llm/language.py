@@ -228,3 +228,9 @@ def of_pages(pages: DataFrame, model: TextModel, prefix: str = "") -> DataFrame:
     declared = F.regexp_extract(html, r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z_-]+)", 1)
     host = F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)
     return identify(pages, model, body, declared, F.substring_index(host, ".", -1), host, prefix)
+
+
+def keep_known(docs: DataFrame, model: TextModel | None = None) -> DataFrame:
+    """The documents whose language is known, with the columns they came with."""
+    judged = of_documents(docs, model or TextModel.fit(docs), prefix="_is_")
+    return judged.where("_is_known").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -132,7 +132,9 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text).alias("_text"))
     # The row itself is the key, so it is carried through without a join.
     judged = judge(packed, rules, key="_row", text="_text")
-    return judged.where("kept").select("_row.*")
+    # The row number keeps the filter above the counts; pushed into them it would repeat their expressions many times.
+    numbered = judged.select("_row", "kept", F.monotonically_increasing_id().alias("_n"))
+    return numbered.where("kept AND _n >= 0").select("_row.*")
 
 
 ORACLE_SQL = r"""
