@@ -43,7 +43,7 @@ class WordTokens:
         for chunk in chunks:
             low = chunk.lower() if chunk.isascii() else chunk
             core = low.rstrip(string.punctuation)
-            cut = core and len(core) < len(low) and core[-1].isalnum()
+            cut = core and len(core) < len(low) and core[-1].lower()[-1].isalnum()
             parts[chunk] = (core, low[len(core) :]) if cut else (low,)
             wanted.update(p for p in parts[chunk] if p not in self.known)
         new = list(wanted)
