@@ -69,8 +69,11 @@ def cover_levels(points: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.nd
         owner, distance = new_owner, new_distance
 
 
-def dual_links(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
-    """Which pairs of rows of two blocks have a cosine of at least ``least``; vectors are doubles of any length.
+Levels = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def dual_links(x: np.ndarray, a: Levels, y: np.ndarray, b: Levels, least: float) -> np.ndarray:
+    """Pairs ``(row of x, row of y)`` of two blocks with a cosine of at least ``least``; any lengths, doubles.
 
     Both cover trees are walked together from their roots. A pair of nodes goes on to its children only if the
     distance of their centres, less both covering radii, does not exceed the distance that the cosine allows.
@@ -78,10 +81,8 @@ def dual_links(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     ux, uy = x / nx[:, None], y / ny[:, None]
     limit = np.sqrt(max(0.0, 2 - 2 * least)) + MARGIN
-    a, b = cover_levels(ux), cover_levels(uy)
-    depth = max(len(a), len(b))
     both = np.ones((1, 1), bool)
-    for level in range(depth):
+    for level in range(max(len(a), len(b))):
         sides = []
         for tree in (a, b):
             if level < len(tree):
@@ -91,25 +92,33 @@ def dual_links(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
                 sides.append((last, np.arange(len(last)), np.zeros(len(last))))
         (ca, pa, ra), (cb, pb, rb) = sides
         both = both[pa][:, pb] if level else both
-        if not both.any():
-            return np.zeros((len(x), len(y)), bool)
-        gap = np.sqrt(np.maximum(0, 2 - 2 * (ux[ca] @ uy[cb].T)))
-        both &= gap <= ra[:, None] + rb[None, :] + limit
-    out = np.zeros((len(x), len(y)), bool)
-    rows, columns = np.nonzero(both)
-    rows, columns = ca[rows], cb[columns]
-    for start in range(0, len(rows), 1 << 18):
-        i, j = rows[start : start + (1 << 18)], columns[start : start + (1 << 18)]
-        cosine = np.einsum("ij,ij->i", x[i], y[j]) / (nx[i] * ny[j])
-        good = cosine >= least
-        out[i[good], j[good]] = True
+        left = np.count_nonzero(both)
+        if not left:
+            return np.zeros((0, 2), np.int64)
+        if 16 * left < both.size:
+            i, j = np.nonzero(both)
+            near = _cosines(ux, uy, ca[i], cb[j]) >= 1 - (ra[i] + rb[j] + limit) ** 2 / 2
+            both[i[~near], j[~near]] = False
+        else:
+            both &= ux[ca] @ uy[cb].T >= 1 - (ra[:, None] + (rb[None, :] + limit)) ** 2 / 2
+    i, j = np.nonzero(both)
+    i, j = ca[i], cb[j]
+    good = _cosines(x, y, i, j) / (nx[i] * ny[j]) >= least
+    return np.stack([i[good], j[good]], 1)
+
+
+def _cosines(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of row pairs, some at a time."""
+    out = np.empty(len(i))
+    for start in range(0, len(i), 1 << 15):
+        part = slice(start, start + (1 << 15))
+        out[part] = np.einsum("ij,ij->i", x[i[part]], y[j[part]])
     return out
 
 
-def _roots(linked: np.ndarray, size: int) -> np.ndarray:
-    """The smallest row that each row of a square link matrix reaches, by spreading minima."""
+def _roots(rows: np.ndarray, columns: np.ndarray, size: int) -> np.ndarray:
+    """The smallest row that each row reaches by the links given, by spreading minima."""
     label = np.arange(size)
-    rows, columns = np.nonzero(linked)
     while True:
         new = label.copy()
         np.minimum.at(new, rows, label[columns])
@@ -124,10 +133,9 @@ def deduplicate(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", co
     """Per row: n_links (other rows linked directly), component_id (smallest id reachable, itself included), kept.
 
     Equal vectors are linked at once and only one of each goes on. The distinct ones are dealt to the cells of a few
-    sampled pivots and, inside a cell, to blocks. A vector visits another cell only if the distances to both pivots
-    and the cell's radius leave room for a link (a pair within t has pivot distances at most 2t out of order), and
-    each pair of blocks that meet is one task with two cover trees. Nothing is approximate: pivots and blocks only
-    decide which pairs need no look.
+    sampled pivots and, inside a cell, to blocks; each block builds its cover tree once. Two blocks meet in a task of
+    their own, unless the distance of their pivots exceeds both cells' radii by more than a link can span. Nothing is
+    approximate: pivots and blocks only decide which pairs need no look.
 
     Null, empty and zero vectors, vectors with null or non-finite components, and rows with a null id link with
     nothing: n_links 0, component their own id, kept. Vectors of different length never link. Rows that share an id
@@ -191,60 +199,93 @@ def deduplicate(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", co
     for k in sorted(stats):
         first_block[k] = sum(stats[j][0] for j in first_block)
 
-    def deal(batches: Iterator) -> Iterator:
+    def block_of(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             salt = batch.column(2).to_pylist()
-            row, block, low, high = [], [], [], []
-            for r, (d, g) in enumerate(gaps(batch.column(3))):
-                own = int(g.argmin())
-                mine = first_block[d, own] + salt[r] % stats[d, own][0]
-                for cell in range(len(g)):
-                    if (d, cell) not in stats or g[cell] > g[own] + 2 * limit or g[cell] > stats[d, cell][1] + limit:
-                        continue
-                    for other in range(first_block[d, cell], first_block[d, cell] + stats[d, cell][0]):
-                        row.append(r)
-                        block.append(mine)
-                        low.append(min(mine, other))
-                        high.append(max(mine, other))
-            at = pa.array(row, pa.int64())
+            own = [(d, int(g.argmin())) for d, g in gaps(batch.column(3))]
+            block = [first_block[k] + salt[r] % stats[k][0] for r, k in enumerate(own)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), batch.column(3).take(at)]
-                + [pa.array(c, pa.int32()) for c in (block, low, high)],
-                names=["node", "copies", "v", "block", "low", "high"],
+                [batch.column(0), batch.column(1), batch.column(3), pa.array(block, pa.int32())],
+                names=["node", "copies", "v", "block"],
             )
 
-    dealt_schema = T.StructType(
-        [
-            T.StructField("node", kind),
-            T.StructField("copies", T.LongType()),
-            T.StructField("v", T.ArrayType(T.DoubleType())),
-            *[T.StructField(c, T.IntegerType()) for c in ("block", "low", "high")],
-        ]
+    in_blocks = nodes.select("node", "copies", F.pmod(F.xxhash64("d1", "d2"), F.lit(1 << 30)), "v").mapInArrow(
+        block_of,
+        T.StructType(
+            [
+                T.StructField("node", kind),
+                T.StructField("copies", T.LongType()),
+                T.StructField("v", T.ArrayType(T.DoubleType())),
+                T.StructField("block", T.IntegerType()),
+            ]
+        ),
     )
-    dealt = nodes.select("node", "copies", F.pmod(F.xxhash64("d1", "d2"), F.lit(1 << 30)), "v").mapInArrow(deal, dealt_schema)
 
-    def meet(group):
+    def grow(group):
+        import pickle
+
         import pandas as pd
 
-        ids, copies, block = (group[c].to_numpy() for c in ("node", "copies", "block"))
         x = np.array(group["v"].tolist())
-        low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
-        n = len(group)
-        linked = np.zeros((n, n), bool)
-        if low == high:
-            linked[:] = dual_links(x, x, least)
-            np.fill_diagonal(linked, False)
+        levels = cover_levels(x / np.linalg.norm(x, axis=1, keepdims=True))
+        narrow = x.astype(np.float32)
+        x = narrow if (narrow == x).all() else x
+        tree = pickle.dumps((group["node"].tolist(), group["copies"].to_numpy(), x, levels), protocol=5)
+        return pd.DataFrame({"block": group["block"].iloc[:1], "tree": [tree]})
+
+    blocks_of = {k: range(first_block[k], first_block[k] + stats[k][0]) for k in stats}
+    near: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for k in stats:
+        for other in stats:
+            if k[0] == other[0]:
+                apart = np.linalg.norm(unit[k[0]][k[1]] - unit[k[0]][other[1]]) if k[0] in unit else 0.0
+                if apart <= stats[k][1] + stats[other][1] + limit:
+                    near.setdefault(k, []).append(other)
+    cell_of = {b: k for k, blocks in blocks_of.items() for b in blocks}
+
+    def deal(frames: Iterator) -> Iterator:
+        import pandas as pd
+
+        for frame in frames:
+            for block, tree in zip(frame["block"].tolist(), frame["tree"], strict=True):
+                for other in near[cell_of[block]]:
+                    partners = blocks_of[other]
+                    yield pd.DataFrame(
+                        {
+                            "block": block,
+                            "low": [min(block, p) for p in partners],
+                            "high": [max(block, p) for p in partners],
+                            "tree": [tree] * len(partners),
+                        }
+                    )
+
+    trees = saved(in_blocks.groupBy("block").applyInPandas(grow, "block int, tree binary"))
+    dealt = trees.mapInPandas(deal, "block int, low int, high int, tree binary")
+
+    def meet(group):
+        import pickle
+
+        import pandas as pd
+
+        group = group.sort_values("block")
+        sides = [pickle.loads(t) for t in group["tree"]]
+        (ids, copies, x, a), (other_ids, other_copies, y, b) = sides[0], sides[-1]
+        found = dual_links(x.astype(np.float64), a, y.astype(np.float64), b, least)
+        if len(sides) == 1:
+            found = found[found[:, 0] < found[:, 1]]
+            shift = 0
         else:
-            a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
-            if len(a) and len(b):
-                found = dual_links(x[a], x[b], least)
-                linked[np.ix_(a, b)] = found
-                linked[np.ix_(b, a)] = found.T
-        some = np.flatnonzero(linked.any(1))
-        root = _roots(linked, n)
-        return pd.DataFrame({"node": ids[some], "n": (linked[some] * copies).sum(1), "root": ids[root[some]]})
+            shift = len(ids)
+            ids, copies = ids + other_ids, np.concatenate([copies, other_copies])
+        rows, columns = found[:, 0], found[:, 1] + shift
+        n = np.bincount(rows, copies[columns], len(ids)) + np.bincount(columns, copies[rows], len(ids))
+        some = np.flatnonzero(n)
+        root = _roots(rows, columns, len(ids))
+        return pd.DataFrame(
+            {"node": [ids[i] for i in some], "n": n[some].astype(np.int64), "root": [ids[i] for i in root[some]]}
+        )
 
     kind_name = kind.simpleString()
     met = saved(dealt.groupBy("low", "high").applyInPandas(meet, f"node {kind_name}, n long, root {kind_name}"))
