@@ -42,6 +42,15 @@ def spread(df: DataFrame, mb_per_partition: int, bytes_column: Column, least: in
     return max(least, -(-total // (mb_per_partition << 20)))
 
 
+def texts_by_hash(rows: DataFrame, text: str, count: int, *hashed: str) -> list[str]:
+    """Texts of the ``count`` rows with the least hash of the given columns. Only hashes are ranked, so that tasks do
+    not send whole texts to the driver from which it then takes a few."""
+    keyed = rows.select(F.xxhash64(*hashed).alias("h"), F.col(text).alias("t"))
+    wanted = [r["h"] for r in keyed.select("h").distinct().orderBy("h").limit(count).collect()]
+    found = keyed.where(F.col("h").isin(wanted)).limit(count).collect()
+    return [r["t"] for r in sorted(found, key=lambda r: (r["h"], r["t"]))]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit (the splitmix64 finalizer)."""
     x = x.astype(np.uint64, copy=True)

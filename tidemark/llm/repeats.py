@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import mix, saved, slices, spread, text_buffers, text_or_empty
+from tidemark.llm.common import mix, saved, slices, spread, text_buffers, text_or_empty, texts_by_hash
 
 LENGTH = 50
 # An anchor is a string of so many bytes; each LENGTH bytes hold one whose hash is the least of theirs.
@@ -462,7 +462,7 @@ def _borders(rows: DataFrame, ranges: int) -> list[bytes]:
 
     if ranges < 2:
         return []
-    texts = [r["text"] for r in rows.orderBy("d1").select("text").limit(SAMPLE_TEXTS).collect()]
+    texts = texts_by_hash(rows, "text", SAMPLE_TEXTS, "d1")
     data, offsets = text_buffers(pa.array(texts, pa.string()))
     place, _ = anchors(data, offsets)
     raw = data.tobytes()
