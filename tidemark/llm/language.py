@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, text_buffers, text_or_empty
+from tidemark.llm.common import lower_ascii, saved, text_buffers, text_or_empty
 
 # Labelled rows on which the text model is fitted, and the languages it may tell apart, the most frequent first.
 TRAIN_ROWS = 20_000
@@ -167,20 +167,22 @@ def identify(
 
     seen = evidence(rows)
     guess = F.array_position("_ll", F.array_max("_ll")).cast("int")
-    # One row for each host, suffix, guess and declaration; all that follows works on these counts.
-    told = (
+    # One row for each host, suffix, guess and declaration, written once; all that follows works on these counts.
+    told = saved(
         seen.where(F.col("_windows") > 0)
         .groupBy("_suffix", "_host", guess.alias("_guess"), "_said")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
 
+    sums = [F.sum(F.when(F.col("_guess") == i + 1, F.col("_n")).otherwise(0)).cast("double") for i in range(n)]
+    shape = (F.array(*sums).alias("_c"), F.sum("_n").cast("double").alias("_t"))
+
     def level(*keys: str) -> DataFrame:
-        sums = [F.sum(F.when(F.col("_guess") == i + 1, F.col("_n")).otherwise(0)).cast("double") for i in range(n)]
-        return told.groupBy(*keys).agg(F.array(*sums).alias("_c"), F.sum("_n").cast("double").alias("_t"))
+        return told.groupBy(*keys).agg(*shape)
 
     agree = F.sum(F.when(F.col("_said") == F.col("_guess"), F.col("_n")).otherwise(0))
     said = F.sum(F.when(F.col("_said") > 0, F.col("_n")).otherwise(0))
-    whole = level().crossJoin(told.agg(((agree + 1) / (said + 2)).alias("_agree"))).first()
+    whole = told.agg(*shape, ((agree + 1) / (said + 2)).alias("_agree")).first()
     total = whole["_t"] or 0.0
     share = [((c or 0.0) + PRIOR_WEIGHT / n) / (total + PRIOR_WEIGHT) for c in (whole["_c"] or [0.0] * n)]
     share = F.array(*[F.lit(s) for s in share])
