@@ -112,19 +112,25 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch, max_bytes: int, text: int = 1):
-    """Parts of an Arrow batch whose text column holds about ``max_bytes`` each (one long text may hold more)."""
+def column_slices(column, max_bytes: int):
+    """Borders of parts of an Arrow text array that hold about ``max_bytes`` each (one long text may hold more)."""
     import pyarrow.compute as pc
 
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     start = 0
-    while start < batch.num_rows:
+    while start < len(column):
         before = size[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(size, before + max_bytes, side="right")))
-        yield batch.slice(start, end - start)
+        yield start, end
         start = end
 
 
+def slices(batch, max_bytes: int, text: int = 1):
+    """Parts of an Arrow batch whose text column holds about ``max_bytes`` each."""
+    for start, end in column_slices(batch.column(text), max_bytes):
+        yield batch.slice(start, end - start)
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 

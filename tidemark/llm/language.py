@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, saved, text_buffers, text_or_empty
+from tidemark.llm.common import column_slices, lower_ascii, saved, slices, text_buffers, text_or_empty
 
 # Labelled rows on which the text model is fitted, and the languages it may tell apart, the most frequent first.
 TRAIN_ROWS = 20_000
@@ -20,6 +20,7 @@ EVIDENCE = 60.0
 # Rows that the level above counts as, at each level of the priors.
 PRIOR_WEIGHT = 20.0
 LEAST_CONFIDENCE = 0.5
+SLICE_BYTES = 2 << 20
 
 
 def _cells(column) -> tuple[np.ndarray, np.ndarray]:
@@ -70,11 +71,12 @@ class TextModel:
 
             sums = np.zeros((len(languages), CELLS), np.int64)
             for batch in batches:
-                cells, upto = _cells(batch.column(1))
-                row = np.array([place.get(v, -1) for v in batch.column(0).to_pylist()])
-                of = np.repeat(row, np.diff(upto))
-                flat = np.bincount(of[of >= 0] * CELLS + cells[of >= 0], minlength=sums.size)
-                sums += flat.reshape(sums.shape)
+                for part in slices(batch, SLICE_BYTES):
+                    cells, upto = _cells(part.column(1))
+                    row = np.array([place.get(v, -1) for v in part.column(0).to_pylist()])
+                    of = np.repeat(row, np.diff(upto))
+                    flat = np.bincount(of[of >= 0] * CELLS + cells[of >= 0], minlength=sums.size)
+                    sums += flat.reshape(sums.shape)
             at = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums.ravel()[at])], names=["cell", "n"])
 
@@ -97,16 +99,18 @@ class TextModel:
         def score(column):
             import pyarrow as pa
 
-            cells, upto = _cells(column)
-            counts = np.diff(upto)
-            out = np.zeros((len(counts), width + 1))
-            out[:, -1] = counts
-            some = counts > 0
-            if len(cells):
-                for i in range(width):
-                    out[some, i] = np.add.reduceat(shared[cells, i], upto[:-1][some], dtype=np.float64) / counts[some]
-            flat = pa.array(out.ravel())
-            return pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * (width + 1)), flat)
+            out = np.zeros((len(column), width + 1))
+            for start, end in column_slices(column, SLICE_BYTES):
+                cells, upto = _cells(column.slice(start, end - start))
+                counts = np.diff(upto)
+                some = counts > 0
+                part = out[start:end]
+                part[:, -1] = counts
+                if len(cells):
+                    for i in range(width):
+                        part[some, i] = np.add.reduceat(shared[cells, i], upto[:-1][some], dtype=np.float64) / counts[some]
+            borders = pa.array(np.arange(len(column) + 1, dtype=np.int32) * (width + 1))
+            return pa.ListArray.from_arrays(borders, pa.array(out.ravel()))
 
         return score(text)
 

@@ -8,7 +8,7 @@ import string
 import numpy as np
 
 # Chunks remembered in a task; later ones are encoded each time they come.
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 400_000
 
 
 class _Known(dict):
