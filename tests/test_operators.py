@@ -54,11 +54,10 @@ def test_rows_without_id_can_be_set_aside(bronze_frame):
         fact_events(bronze, DAY_1, null_id="drop")
 
 
-@pytest.mark.parametrize("candidate_rows", [None, 3, 10**9])
-def test_anti_append_never_finds_null(spark, candidate_rows):
+def test_anti_append_never_finds_null(spark):
     candidates = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "id string, v int")
     existing = spark.createDataFrame([("a",), (None,), ("z",)], "id string")
-    fresh = anti_append(candidates, existing, "id", candidate_rows)
+    fresh = anti_append(candidates, existing, "id")
     assert sorted(rows(fresh), key=str) == [("b", 2), (None, 3)]
 
 

@@ -122,7 +122,7 @@ def test_publish(spark, events_frame, tmp_path):
 
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
-        kafka_messages(spark, "broker:9092", "ecommerce-events", "group")
+        kafka_messages(spark, "broker:9092", "shop-clicks", "group")
 
 
 def test_raw_mart_job(spark, tmp_path):

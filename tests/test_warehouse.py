@@ -12,6 +12,7 @@ from tests.test_sources import write_csv
 from tidemark import QualityError, Warehouse
 from tidemark.clock import as_of_column, label
 from tidemark.operators.incremental import watermark
+from tidemark.schemas import EVENT_COLUMNS
 from workload.bronze_view import INGESTED, RUN_1, RUN_2, bronze
 
 DAY = datetime(2020, 1, 1)
@@ -155,8 +156,56 @@ def test_time_has_to_advance(spark, tmp_path, bronze_frame):
     w.build(DAY + timedelta(hours=2))
     with pytest.raises(ValueError, match="not after the last build"):
         w.build(DAY + timedelta(hours=1))
-    with pytest.raises(ValueError, match="not after the last build"):
-        w.ingest_csv(str(tmp_path), DAY + timedelta(hours=2))
+
+
+def test_load_committed_late_is_not_lost(spark, tmp_path, bronze_frame):
+    w = warehouse(spark, tmp_path)
+    load(w, bronze_frame(event()), "1")
+    w.build(DAY + timedelta(hours=2))
+    # Stamped before that build, committed after it.
+    load(w, bronze_frame(event(user_session="late", product_id="9", user_id="8"), at=DAY + timedelta(hours=1)), "2")
+    assert w.build(DAY + timedelta(hours=3)).fact_rows == 1
+    assert (w.fact.read().count(), w.products.read().count(), w.users.read().count()) == (2, 2, 2)
+
+
+def test_load_stamped_ahead_counts_once(spark, tmp_path, bronze_frame):
+    w = warehouse(spark, tmp_path)
+    load(w, bronze_frame(event(), event(user_session=""), at=DAY + timedelta(days=9)), "1")
+    assert w.build(DAY + timedelta(hours=2)).fact_rows == 2
+    result = w.build(DAY + timedelta(hours=3))
+    assert (result.fact_rows, result.violations) == (0, {})
+    assert w.fact.read().count() == 2
+
+
+def test_two_ingests_at_one_time(spark, tmp_path):
+    landing, archive = tmp_path / "landing", tmp_path / "archive"
+    w = warehouse(spark, tmp_path / "warehouse")
+    write_csv(landing / "one.csv", event())
+    assert w.ingest_csv(str(landing), DAY, str(archive)) == {"one.csv": 1}
+    write_csv(landing / "two.csv", event(user_session="2"), event(user_session="3"))
+    assert w.ingest_csv(str(landing), DAY, str(archive)) == {"two.csv": 2}
+    assert w.bronze.read().count() == 3
+    assert sorted(p.name for p in archive.glob("*.csv")) == ["one.csv", "two.csv"]
+
+
+def test_bad_rows_and_other_layouts(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_csv(landing / "one.csv", event())
+    with open(landing / "one.csv", "a") as file:
+        file.write("too,short\n")
+    whole = (landing / "one.csv").read_text().splitlines()
+    columns = whole[0].split(",")
+    turned = [",".join(reversed(columns)), ",".join(reversed(whole[1].split(",")))]
+    (landing / "turned.csv").write_text("\n".join(turned) + "\n")
+    (landing / "wrong.csv").write_text("a,b\n1,2\n")
+    w = warehouse(spark, tmp_path / "warehouse")
+    with pytest.raises(ValueError, match="Missing required columns"):
+        w.ingest_csv(str(landing), DAY, on_bad_row="quarantine")
+    loaded = w.bronze.read()
+    assert loaded.count() == 2
+    assert loaded.select(*EVENT_COLUMNS).distinct().count() == 1
+    assert rows(w.quarantine.read().select("value", "_file_name")) == [("too,short", "one.csv")]
+    assert w.known_files(str(landing)) == ["one.csv", "turned.csv"]
 
 
 def test_csv_to_report(spark, tmp_path):
@@ -183,8 +232,7 @@ def test_csv_to_report(spark, tmp_path):
     assert metrics["silver_fact_events_freshness_hours"] == "0.0"
 
 
-def test_many_dates_are_joined_instead_of_listed(spark, tmp_path, bronze_frame, monkeypatch):
-    monkeypatch.setattr("tidemark.plans.warehouse.MAX_LISTED_DATES", 1)
+def test_many_dates_and_rows_without_date(spark, tmp_path, bronze_frame):
     w = warehouse(spark, tmp_path)
     times = ["2019-10-01 00:00:00", "2019-10-02 00:00:00", "2019-10-03 00:00:00", "?"]
     for i in range(2):

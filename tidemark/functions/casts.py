@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Shortest complete date, '2019-1-5'. Spark would also read '2019' and '2019-10'.
-_SHORTEST_DATE = 8
+# A complete date, with dashes or slashes, opens the text. Spark would also read '2019', '2019-10' and '+2019-10'.
+_DATE = r"^\s*\d{4}([-/])\d{1,2}\1\d{1,2}(?!\d)"
+_SLASHES = r"^(\s*\d{4})/(\d{1,2})/"
 
 
 def to_double(text: Column) -> Column:
@@ -22,5 +23,6 @@ def to_int(text: Column) -> Column:
 
 
 def to_event_time(text: Column) -> Column:
-    """TIMESTAMP_NTZ or NULL; a zone suffix such as ' UTC' is read and dropped."""
-    return F.when(F.length(F.trim(text)) >= _SHORTEST_DATE, text.try_cast("timestamp_ntz"))
+    """TIMESTAMP_NTZ or NULL; dates with dashes or slashes, a zone suffix such as ' UTC' is read and dropped."""
+    dashed = F.when(text.contains("/"), F.regexp_replace(text, _SLASHES, "$1-$2-")).otherwise(text)
+    return F.when(text.rlike(_DATE), dashed.try_cast("timestamp_ntz"))

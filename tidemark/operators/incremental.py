@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.clock import EPOCH, as_of_column
 
-# A list of 32-character ids is broadcast up to this many rows (about 100 MB as a hash relation).
-BROADCAST_ID_ROWS = 1_000_000
-
-
 def watermark(target: DataFrame, mark_column: str) -> DataFrame:
     """One row: the newest mark of the target, 1970 when it is empty."""
     return target.agg(F.coalesce(F.max(mark_column), as_of_column(EPOCH)).alias("mark"))
@@ -44,19 +40,32 @@ def newest_first(*columns: str) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in columns]
 
 
-def anti_append(candidates: DataFrame, existing: DataFrame, key: str, candidate_rows: int | None = None) -> DataFrame:
+def anti_append(candidates: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Candidates whose key the existing table lacks; a NULL key is never found and always passes.
 
-    With a known small number of candidates their keys go to the existing rows, which then need no
-    shuffle; otherwise both sides are shuffled by key. NULL keys of the history stay out of either.
+    The history's keys first shrink to those that the candidates have as well: a semi-join whose smaller side
+    Spark broadcasts if it measures it as small, so that the history is then not shuffled. NULL keys of the
+    history stay out.
     """
-    known = existing.select(key).filter(F.col(key).isNotNull())
-    if candidate_rows is not None and candidate_rows <= BROADCAST_ID_ROWS:
-        known = known.join(F.broadcast(candidates.select(key)), key, "left_semi")
+    known = existing.select(key).filter(F.col(key).isNotNull()).join(candidates.select(key), key, "left_semi")
     return candidates.join(known, key, "left_anti").select(*candidates.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``source`` replace target rows of equal keys, or are added. Source keys: unique, not NULL."""
-    kept = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
-    return kept.unionByName(source)
+    """Rows of ``source`` replace target rows of equal keys, or are added. Source keys: unique, not NULL.
+
+    One full outer join, so each side is evaluated once. ``duplicate_or_null_keys`` finds sources that break the rule.
+    """
+    new = source.select(F.struct(*target.columns).alias("_new"), *[F.col(k).alias(f"_new_{k}") for k in keys])
+    old = target.select(F.struct(*target.columns).alias("_old"), *[F.col(k).alias(f"_old_{k}") for k in keys])
+    same = [F.col(f"_old_{k}") == F.col(f"_new_{k}") for k in keys]
+    row = F.coalesce("_new", "_old")
+    return old.join(new, same, "full_outer").select(*[row[c].alias(c) for c in target.columns])
+
+
+def duplicate_or_null_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that ``upsert`` must not be given: those that come more than once, or hold a NULL."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter((F.col("row_count") > 1) | missing)

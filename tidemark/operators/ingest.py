@@ -31,10 +31,12 @@ def to_bronze(rows: DataFrame) -> DataFrame:
 def skip_ingested_files(incoming: DataFrame, bronze: DataFrame) -> DataFrame:
     """Rows of ``incoming`` whose ``_file_name`` bronze does not hold yet.
 
-    Only the name column of bronze is read, and it shrinks to distinct names before it is shuffled. No
-    broadcast hint: the number of files grows with the data, so the measured size decides at run time.
+    The names alone are compared: distinct names of the batch against those of bronze, of which only the name
+    column is read. The rows are then filtered by the short list of known names, whose measured size decides
+    whether it is broadcast, so the rows of one large file need not meet in one task.
     """
-    known = bronze.select("_file_name").distinct()
+    names = incoming.select("_file_name").distinct()
+    known = names.join(bronze.select("_file_name"), "_file_name", "left_semi")
     return incoming.join(known, "_file_name", "left_anti").select(*incoming.columns)
 
 

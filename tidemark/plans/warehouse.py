@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tidemark import schemas
 from tidemark.clock import as_of_column, label, use_utc
 from tidemark.operators.dimensions import dim_products, dim_users
 from tidemark.operators.facts import fact_events, null_id_rows
-from tidemark.operators.incremental import anti_append, upsert, watermark_literal
+from tidemark.operators.incremental import anti_append, upsert
 from tidemark.operators.ingest import (
     ingest_summary,
     skip_ingested_files,
@@ -27,13 +28,10 @@ from tidemark.operators.quality import (
     failed_fact_checks,
     metrics_from,
 )
-from tidemark.sources.csv_files import list_csv, read_events
+from tidemark.sources.csv_files import by_header, list_csv, read_events, rejected_rows
 from tidemark.sources.files import move_into
 from tidemark.sources.tables import LoadTable
 
-# Up to this many dates are written into the scan as a partition filter; beyond it they are joined.
-MAX_LISTED_DATES = 2_000
-
 MART_MODES = ("merge", "replace_dates")
 
 
@@ -53,7 +51,12 @@ class BuildResult:
 
 
 class Warehouse:
-    """One writer at a time: a build must not run while an ingest is being written."""
+    """Bronze, silver and gold. Builds run one at a time; loads may be committed while a build runs.
+
+    A build decides once which bronze loads it consumes: all that are whole when it starts and that no build had
+    before, whatever time they are stamped with. It writes their labels down first, and takes the fact and both
+    dimensions from them, so no load is missed and none counts twice.
+    """
 
     def __init__(
         self,
@@ -80,11 +83,9 @@ class Warehouse:
         ingest_date = T.StructField("ingest_date", T.DateType())
         event_date = T.StructField("event_date", T.DateType())
         report_date = T.StructField("report_date", T.DateType())
-        self.bronze = self._table("bronze_raw_events", schemas.BRONZE, ingest_date)
-        self.quarantine = self._table(
-            "bronze_quarantine",
-            T.StructType([T.StructField("value", T.StringType()), T.StructField("_ingested_at", T.TimestampType())]),
-        )
+        self.bronze = self._table("bronze_raw_events", schemas.BRONZE, ingest_date, rebalance=False)
+        self.quarantine = self._table("bronze_quarantine", schemas.QUARANTINE)
+        self.consumed = self._table("consumed_loads", schemas.CONSUMED)
         self.fact = self._table("fact_events", schemas.FACT_EVENTS, event_date)
         self.null_ids = self._table("fact_events_without_id", schemas.FACT_EVENTS)
         self.products = self._table("dim_products", schemas.DIM_PRODUCTS)
@@ -93,8 +94,8 @@ class Warehouse:
         self.metrics = self._table("dq_pipeline_metrics", schemas.DQ_METRICS)
         self._staged_fact = f"{self.root}/_staged/fact_events"
 
-    def _table(self, name: str, schema: T.StructType, partition: T.StructField | None = None, newest_only=False):
-        return LoadTable(self.spark, f"{self.root}/{name}", schema, partition, newest_only)
+    def _table(self, name: str, schema: T.StructType, partition: T.StructField | None = None, **kind: bool):
+        return LoadTable(self.spark, f"{self.root}/{name}", schema, partition, **kind)
 
     # -- ingest
 
@@ -102,24 +103,48 @@ class Warehouse:
         """Add rows with lineage columns as one load; repeating a load changes nothing."""
         return self.bronze.append(to_bronze(rows).withColumn("ingest_date", F.to_date("_ingested_at")), load)
 
-    def ingest_csv(self, directory: str, as_of: datetime, archive_dir: str | None = None) -> dict[str, int]:
+    def ingest_csv(
+        self,
+        directory: str,
+        as_of: datetime,
+        archive_dir: str | None = None,
+        on_bad_row: str = "raise",
+        multi_line: bool = False,
+    ) -> dict[str, int]:
         """Load the directory's CSV files that bronze does not know by name; rows per loaded file.
 
-        Loaded files move to ``archive_dir``; files that were skipped stay where they are.
+        Files of one header are one load, whose label tells time and files, so another ingest at the same time is
+        another load. Only files whose load is whole move to ``archive_dir``; skipped files stay where they are
+        (``known_files`` lists them). Rows that do not fit the header fail the ingest, or go to the quarantine table
+        with ``on_bad_row="quarantine"``. A layout that cannot be read raises after the other files are loaded.
         """
-        self._require_advance(as_of, "ingest")
         names = self.bronze.read().select("_file_name")
         paths = [r.path for r in skip_ingested_files(list_csv(self.spark, directory), names).collect()]
-        if not paths:
-            return {}
-        load = f"csv_{label(as_of)}"
-        rows = read_events(self.spark, paths)
-        self.append_bronze(with_lineage(rows, F.col("_file_name"), as_of), load)
-        if archive_dir:
-            move_into(self.spark, paths, archive_dir)
-        loaded = self.bronze.read().filter(F.col("ingest_date") == F.to_date(as_of_column(as_of)))
-        summary = ingest_summary(loaded.filter(F.col("_ingested_at") == as_of_column(as_of)))
-        return {r["_file_name"]: r["rows_loaded"] for r in summary.collect()}
+        counts: dict[str, int] = {}
+        errors: list[Exception] = []
+        for group in by_header(self.spark, paths):
+            try:
+                rows = read_events(self.spark, group, multi_line=multi_line, on_bad_row=on_bad_row)
+            except ValueError as error:
+                errors.append(error)
+                continue
+            load = f"csv_{label(as_of)}_{md5(chr(10).join(sorted(group)).encode()).hexdigest()[:12]}"
+            if on_bad_row == "quarantine":
+                bad = with_lineage(rejected_rows(self.spark, group, multi_line=multi_line), F.col("_file_name"), as_of)
+                self.quarantine.append(bad, load)
+            self.append_bronze(with_lineage(rows, F.col("_file_name"), as_of), load)
+            if archive_dir:
+                move_into(self.spark, group, archive_dir)
+            counts |= {r["_file_name"]: r["rows_loaded"] for r in ingest_summary(self.bronze.read([load])).collect()}
+        if errors:
+            raise ValueError(f"Files not loaded: {[str(e) for e in errors]}") from errors[0]
+        return counts
+
+    def known_files(self, directory: str) -> list[str]:
+        """Names of the directory's CSV files that an ingest passes over because bronze holds them."""
+        names = self.bronze.read().select("_file_name")
+        listed = list_csv(self.spark, directory).select("_file_name")
+        return sorted(r["_file_name"] for r in listed.join(names, "_file_name", "left_semi").distinct().collect())
 
     # -- build
 
@@ -129,11 +154,12 @@ class Warehouse:
         ``as_of`` stamps every row and has to advance from build to build; a build that was interrupted
         may be repeated with its own ``as_of`` and goes on where it stopped.
         """
-        self._require_advance(as_of, "build")
+        self._require_advance(as_of)
         load = label(as_of)
-        self._build_fact(as_of, load, full_refresh)
-        self._build_dimension(self.products, dim_products, "product_id", load, full_refresh)
-        self._build_dimension(self.users, dim_users, "user_id", load, full_refresh)
+        loads = self._consume(load, full_refresh)
+        self._build_fact(loads, as_of, load, full_refresh)
+        self._build_dimension(self.products, dim_products, "product_id", loads, load, full_refresh)
+        self._build_dimension(self.users, dim_users, "user_id", loads, load, full_refresh)
 
         fact = self.fact.read()
         summary = fact_summary(fact).first()
@@ -148,17 +174,26 @@ class Warehouse:
 
         one_row = self.spark.createDataFrame([summary], self._summary_schema(fact))
         self.metrics.replace(metrics_from(one_row, as_of).coalesce(1), load)
-        for table in (self.fact, self.null_ids, self.products, self.users, self.mart, self.metrics):
+        for table in (self.consumed, self.fact, self.null_ids, self.products, self.users, self.mart, self.metrics):
             table.expire()
-        loaded = fact.filter(F.col("_loaded_at") == as_of_column(as_of)).count()
+        loaded = self.fact.read([load]).count()
         return BuildResult(as_of, loaded, violations)
 
-    def _build_fact(self, as_of: datetime, load: str, full_refresh: bool) -> None:
+    def _consume(self, load: str, full_refresh: bool) -> list[str]:
+        """The bronze loads of this build, decided and written down once; a repeated build finds its own again."""
+        if load not in self.consumed.labels():
+            taken = set() if full_refresh else {r["bronze_load"] for r in self.consumed.read().collect()}
+            fresh = [(b,) for b in self.bronze.labels() if b not in taken]
+            rows = self.spark.createDataFrame(fresh, schemas.CONSUMED).coalesce(1)
+            (self.consumed.replace if full_refresh else self.consumed.append)(rows, load)
+        return [r["bronze_load"] for r in self.consumed.read([load]).collect()]
+
+    def _build_fact(self, loads: list[str], as_of: datetime, load: str, full_refresh: bool) -> None:
         if self._done(self.fact, load, full_refresh):
             return
         event_date = F.to_date("event_timestamp")
         first = full_refresh or not self.fact.labels()
-        delta = self.bronze.read() if first else self._bronze_since(self.fact.read(), "_loaded_at")
+        delta = self.bronze.read(loads)
         if self.null_id == "quarantine":
             aside = null_id_rows(delta).withColumn("_loaded_at", as_of_column(as_of))
             (self.null_ids.replace if first else self.null_ids.append)(aside, load)
@@ -166,23 +201,23 @@ class Warehouse:
         if first:
             self.fact.replace(staged, load)
             return
-        # The deduplicated delta is used three times: for its dates, its size and its rows.
+        # The deduplicated delta is used twice: for its dates and its rows.
         staged.write.mode("overwrite").parquet(self._staged_fact)
         staged = self.spark.read.parquet(self._staged_fact)
-        count = staged.count()
-        if count == 0:
+        dates = self._dates(staged)
+        if not dates:
             return
         # Equal ids have equal event times, so history is read on the delta's dates only.
-        history = self._on_dates(self.fact.read(), "event_date", self._dates(staged))
-        self.fact.append(anti_append(staged, history, "event_id", count), load)
+        history = self._on_dates(self.fact.read(), "event_date", dates)
+        self.fact.append(anti_append(staged, history, "event_id"), load)
 
-    def _build_dimension(self, table: LoadTable, latest, key: str, load: str, full_refresh: bool) -> None:
+    def _build_dimension(self, table: LoadTable, latest, key: str, loads: list[str], load: str, full_refresh: bool) -> None:
         if table.labels() == [load]:
             return
         if full_refresh or not table.labels():
-            table.replace(latest(self.bronze.read()), load)
+            table.replace(latest(self.bronze.read(loads)), load)
             return
-        delta = self._bronze_since(table.read(), "_updated_at")
+        delta = self.bronze.read(loads)
         if not delta.isEmpty():
             table.replace(upsert(table.read(), latest(delta), [key]), load)
 
@@ -194,7 +229,8 @@ class Warehouse:
             self.mart.replace(marketing_report(fact, products, as_of), load)
             return
         mart = self.mart.read()
-        fresh = fact.filter(F.col("_loaded_at") > watermark_literal(mart, "_refreshed_at"))
+        # Fact and mart loads carry the label of their build, so what the mart lacks is read from those loads alone.
+        fresh = self.fact.read([x for x in self.fact.labels() if x > self.mart.labels()[-1]])
         dates = self._dates(fresh.filter(F.col("event_date").isNotNull()))
         if dates == []:
             return
@@ -205,23 +241,14 @@ class Warehouse:
 
     # -- scans
 
-    def _bronze_since(self, target: DataFrame, mark_column: str) -> DataFrame:
-        """Bronze newer than the target's watermark. One value passes the driver, as a partition filter."""
-        mark = watermark_literal(target, mark_column)
-        return self.bronze.read().filter((F.col("_ingested_at") > mark) & (F.col("ingest_date") >= F.to_date(mark)))
-
     @staticmethod
-    def _dates(rows: DataFrame) -> list[date | None] | DataFrame:
-        """The distinct ``event_date`` values of the rows: a list if there are few, else a DataFrame."""
-        distinct = rows.select(F.col("event_date").alias("_date")).distinct()
-        listed = [r["_date"] for r in distinct.limit(MAX_LISTED_DATES + 1).collect()]
-        return listed if len(listed) <= MAX_LISTED_DATES else distinct
+    def _dates(rows: DataFrame) -> list[date | None]:
+        """The distinct ``event_date`` values of the rows; the calendar bounds their number."""
+        return [r["event_date"] for r in rows.select("event_date").distinct().collect()]
 
     @staticmethod
-    def _on_dates(df: DataFrame, column: str, dates: list[date | None] | DataFrame) -> DataFrame:
-        """Rows of the given dates, NULL included; listed dates become a partition filter."""
-        if isinstance(dates, DataFrame):
-            return df.join(dates, df[column].eqNullSafe(dates["_date"]), "left_semi")
+    def _on_dates(df: DataFrame, column: str, dates: list[date | None]) -> DataFrame:
+        """Rows of the given dates, NULL included, by a partition filter."""
         wanted = F.col(column).isin([d for d in dates if d is not None])
         return df.filter(wanted | F.col(column).isNull() if None in dates else wanted)
 
@@ -232,15 +259,11 @@ class Warehouse:
         """Whether an interrupted build had already written this table."""
         return table.labels() == [load] if full_refresh else load in table.labels()
 
-    def _require_advance(self, as_of: datetime, what: str) -> None:
-        """Rows stamped before the last build would never be seen by an incremental one."""
+    def _require_advance(self, as_of: datetime) -> None:
+        """Builds are stamped in the order they run; a build may be repeated with its own time."""
         built = self.fact.labels()
-        if not built:
-            return
-        # A build may be repeated with its own time, an ingest at that time would come too late.
-        too_early = label(as_of) < built[-1] or (what == "ingest" and label(as_of) == built[-1])
-        if too_early:
-            raise ValueError(f"{what} at {as_of} is not after the last build, {built[-1]}")
+        if built and label(as_of) < built[-1]:
+            raise ValueError(f"build at {as_of} is not after the last build, {built[-1]}")
 
     def _stop_on(self, violations: dict[str, int]) -> None:
         if violations and self.on_violation == "raise":

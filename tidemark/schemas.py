@@ -87,6 +87,17 @@ DQ_METRICS = T.StructType(
     ]
 )
 
+# Not in the contract: what an ingest set aside, and which bronze loads each build took.
+QUARANTINE = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField("_file_name", T.StringType()),
+        T.StructField("_ingested_at", T.TimestampType()),
+    ]
+)
+
+CONSUMED = T.StructType([T.StructField("bronze_load", T.StringType())])
+
 CONTRACT = {
     "bronze_raw_events": BRONZE,
     "fact_events": FACT_EVENTS,

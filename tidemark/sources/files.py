@@ -15,6 +15,17 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in fs.globStatus(path) or []]
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a UTF-8 text file, empty if it has none."""
+    fs, target = _resolve(spark, path)
+    java = spark._jvm.java.io
+    lines = java.BufferedReader(java.InputStreamReader(fs.open(target), "UTF-8"))
+    try:
+        return lines.readLine() or ""
+    finally:
+        lines.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)

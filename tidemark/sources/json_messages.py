@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import EVENT, EVENT_COLUMNS
 
-_CORRUPT = "_corrupt"
-
+# Closes the frame around a message; no key of the contract.
+_END = "_end"
 
 def _parsed(messages: DataFrame) -> DataFrame:
     """``value``, the event's columns, and ``_valid``: UTF-8, one JSON object, parsed without error."""
@@ -16,13 +16,21 @@ def _parsed(messages: DataFrame) -> DataFrame:
     # The pattern only looks at messages with whitespace around the object, and at malformed ones.
     braces = F.when(text.startswith("{") & text.endswith("}"), True).otherwise(text.rlike(r"(?s)^\s*\{.*\}\s*$"))
     one_object = braces & F.is_valid_utf8(text)
-    schema = ", ".join(f"{c} string" for c in (*EVENT_COLUMNS, _CORRUPT))
-    event = F.from_json("_text", schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    # Taking the struct apart as a generator parses each message once, not once per column.
+    # Read as the first of two array elements, so that whatever follows the object shows.
+    schema = f"array<struct<{', '.join(f'{c}: string' for c in (*EVENT_COLUMNS, _END))}>>"
+    framed = F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"1"}}]'))
+    parsed = F.from_json(framed, schema, {"allowSingleQuotes": "false"})
+    whole = (F.size("_events") == 2) & F.col("_events")[1][_END].isNotNull()
+    single = F.when(whole, F.col("_events")[0])
     return (
-        messages.select("value", text.alias("_text"), F.coalesce(one_object, F.lit(False)).alias("_one_object"))
-        .select("value", "_one_object", F.inline(F.array(event)))
-        .withColumn("_valid", F.col("_one_object") & F.col(_CORRUPT).isNull())
+        messages.select("value", F.coalesce(one_object, F.lit(False)).alias("_one_object"), parsed.alias("_events"))
+        # Taking the struct apart as a generator parses each message once, not once per column.
+        .select("value", "_one_object", F.explode(F.array(single)).alias("_event"))
+        .select(
+            "value",
+            *[F.col("_event")[c].alias(c) for c in EVENT_COLUMNS],
+            (F.col("_one_object") & F.col("_event").isNotNull()).alias("_valid"),
+        )
     )
 
 
@@ -48,10 +56,13 @@ def publish_events(rows: DataFrame, format: str = "kafka", **options: str) -> No
     encode_events(rows).write.format(format).mode("append").options(**options).save()
 
 
-def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str, group_id: str | None = None) -> DataFrame:
+def kafka_messages(
+    spark: SparkSession, bootstrap_servers: str, topic: str, group_id: str | None = None, **options: str
+) -> DataFrame:
     """Stream of a topic's messages from its beginning; progress is kept in the query's checkpoint.
 
-    Needs Spark's Kafka connector: ``--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<version>``.
+    ``options`` go to the source as they are: security settings, or ``maxOffsetsPerTrigger``, without which a first
+    drain is one micro-batch of the whole backlog. Needs Spark's Kafka connector: ``--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<version>``.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -61,4 +72,4 @@ def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str, grou
     )
     if group_id:
         reader = reader.option("kafka.group.id", group_id)
-    return reader.load().select("value")
+    return reader.options(**options).load().select("value")

@@ -25,12 +25,15 @@ class LoadTable:
         schema: T.StructType,
         partition: T.StructField | None = None,
         newest_only: bool = False,
+        rebalance: bool = True,
     ):
-        """``newest_only``: of several loads holding one partition value, only the newest counts."""
+        """``newest_only``: of several loads holding one partition value, only the newest counts.
+        ``rebalance=False``: a load has one partition value anyway, so its rows are written where they are."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition = partition
         self.newest_only = newest_only
+        self.rebalance = rebalance
         extra = [partition] if partition is not None and partition.name not in schema.names else []
         self.schema = T.StructType(schema.fields + extra)
 
@@ -40,8 +43,11 @@ class LoadTable:
         """Labels of the whole loads of the newest generation, oldest first."""
         return [load for _, load in self._loads()]
 
-    def read(self) -> DataFrame:
+    def read(self, labels: list[str] | None = None) -> DataFrame:
+        """The whole table, or only the loads of the given labels."""
         loads = self._loads()
+        if labels is not None:
+            loads = [(generation, load) for generation, load in loads if load in set(labels)]
         paths = [self._path(generation, load) for generation, load in loads]
         if self.newest_only and loads:
             paths = self._newest_partitions(loads)
@@ -83,7 +89,8 @@ class LoadTable:
             out.write.mode("overwrite").option("compression", "zstd").parquet(path)
         else:
             # Rows of one partition value meet in few files; AQE splits a value that is too large for one task.
-            out = out.hint("rebalance", F.col(self.partition.name))
+            if self.rebalance:
+                out = out.hint("rebalance", F.col(self.partition.name))
             out.write.mode("overwrite").option("compression", "zstd").partitionBy(self.partition.name).parquet(path)
 
     # -- directories (names only; data never passes the driver)

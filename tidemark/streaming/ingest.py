@@ -43,7 +43,7 @@ def messages_to_bronze(
         batch.persist()
         try:
             warehouse.append_bronze(with_lineage(decode_events(batch), load, None), load)
-            rejected = malformed_messages(batch).withColumn("_ingested_at", F.current_timestamp())
+            rejected = with_lineage(malformed_messages(batch), load, None)
             if not rejected.isEmpty():
                 warehouse.quarantine.append(rejected, load)
         finally:
@@ -52,8 +52,11 @@ def messages_to_bronze(
     return _start(messages, load_batch, checkpoint, trigger)
 
 
-def csv_messages(spark: SparkSession, directory: str, archive_dir: str | None = None) -> DataFrame:
-    """Stream of the CSV files that land in a directory; processed files move to ``archive_dir``."""
+def csv_messages(spark: SparkSession, directory: str, archive_dir: str | None = None, **options: str) -> DataFrame:
+    """Stream of the CSV files that land in a directory; processed files move to ``archive_dir``.
+
+    Files have the contract's header. ``options`` go to the source, such as ``maxFilesPerTrigger``.
+    """
     reader = (
         spark.readStream.schema(EVENT)
         .options(**CSV_OPTIONS)
@@ -64,6 +67,7 @@ def csv_messages(spark: SparkSession, directory: str, archive_dir: str | None =
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     fields = [F.nullif(F.col(c), F.lit("")).alias(c) for c in EVENT.names]
+    reader = reader.options(**options)
     return reader.csv(directory).select(*fields, file_name().alias("_file_name"))
 
 

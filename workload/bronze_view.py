@@ -60,7 +60,11 @@ def event_lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFr
     if dirty:
         iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
         columns["event_time"] = (
-            F.when(every(103), F.lit("not-a-time")).when(every(127), iso).otherwise(columns["event_time"])
+            F.when(every(103), F.lit("not-a-time"))
+            .when(every(127), iso)
+            .when(every(137), F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
+            .when(every(139), F.lit("+2019-10"))
+            .otherwise(columns["event_time"])
         )
         columns["product_id"] = (
             F.when(every(107), F.lit("abc"))
@@ -96,14 +100,25 @@ def until(rows: DataFrame, as_of: datetime) -> DataFrame:
     return rows.filter(F.col("_ingested_at") <= as_of_column(as_of))
 
 
+def fresh_folder(spark: SparkSession) -> str:
+    """A path of its own in ``spark.checkpoint.dir``, the folder the cluster shares; only where that is unset (one
+    machine, as in tests) in a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    return f"{folder.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the folder the cluster shares, as a build leaves it for the next one."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-    path = f"{folder.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    path = fresh_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def csv_folder(lines: DataFrame, quote: bool = True) -> str:
+    """The event columns of ``lines`` as CSV files with header; without quotes, a comma in a field makes one more."""
+    path = fresh_folder(lines.sparkSession)
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    if not quote:
+        options["quote"] = "\u0000"
+    lines.select(*EVENT_COLUMNS).write.options(**options).csv(path)
+    return path

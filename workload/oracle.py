@@ -24,7 +24,9 @@ def _lines(dirty: bool) -> str:
     if dirty:
         time = (
             "CASE WHEN e.eid % 103 = 0 THEN 'not-a-time' "
-            f"WHEN e.eid % 127 = 0 THEN strftime(e.ts, '%Y-%m-%dT%H:%M:%S') ELSE {time} END"
+            "WHEN e.eid % 127 = 0 THEN strftime(e.ts, '%Y-%m-%dT%H:%M:%S') "
+            "WHEN e.eid % 137 = 0 THEN strftime(e.ts, '%Y/%m/%d %H:%M:%S') "
+            f"WHEN e.eid % 139 = 0 THEN '+2019-10' ELSE {time} END"
         )
         product = f"CASE WHEN e.eid % 107 = 0 THEN 'abc' WHEN e.eid % 131 = 0 THEN {product} || '.5' ELSE {product} END"
         price = f"CASE WHEN e.eid % 89 = 0 THEN 'n/a' ELSE {price} END"
@@ -252,6 +254,11 @@ def _json(columns: str) -> str:
 _NO_CATEGORY_ID = LINE_COLUMNS.replace("category_id", "CASE WHEN batch = 1 THEN category_id END AS category_id")
 _NO_BRAND = LINE_COLUMNS.replace("brand", "CASE WHEN eid % 61 <> 0 THEN brand END AS brand")
 
+_WELL_FORMED = "eid % 53 <> 0 AND eid % 59 <> 0 AND eid % 71 <> 0 AND eid % 73 <> 0"
+_CSV_LINE = " || ',' || ".join(
+    "brand || ',more'" if c == "brand" else f"COALESCE({c}, '')" for c in LINE_COLUMNS.split(", ")
+)
+
 ORACLE: dict[str, str] = {
     "bronze_ingest": f"WITH {_bronze()} SELECT {BRONZE_COLUMNS} FROM bronze",
     "ingest_summary": f"""WITH {_bronze()}
@@ -262,7 +269,16 @@ ORACLE: dict[str, str] = {
         WHERE _file_name NOT IN (SELECT _file_name FROM bronze WHERE _ingested_at <= TIMESTAMP '{RUN_1}')""",
     "union_batches": f"WITH {_lines(False)} SELECT eid, {_NO_CATEGORY_ID} FROM lines",
     "encode_events": f"WITH {_lines(False)} SELECT {_json(LINE_COLUMNS)} AS value FROM lines",
-    "decode_events": f"WITH {_lines(False)} SELECT {_NO_BRAND} FROM lines WHERE eid % 53 <> 0 AND eid % 59 <> 0",
+    "decode_events": f"WITH {_lines(False)} SELECT {_NO_BRAND} FROM lines WHERE {_WELL_FORMED}",
+    "malformed_messages": f"""WITH {_lines(False)}, messages AS (
+            SELECT eid, {_json(LINE_COLUMNS)} AS whole FROM lines WHERE NOT ({_WELL_FORMED}))
+        SELECT CASE WHEN eid % 53 = 0 THEN 'not json ' || whole
+                    WHEN eid % 59 = 0 THEN '[' || whole || ']'
+                    WHEN eid % 71 = 0 THEN whole || ' ' || whole
+                    ELSE replace(whole, '"', '''') END AS value FROM messages""",
+    "csv_scan": f"WITH {_lines(False)} SELECT {LINE_COLUMNS} FROM lines WHERE eid % 59 <> 0 OR brand IS NULL",
+    "csv_rejects": f"""WITH {_lines(False)}
+        SELECT {_CSV_LINE} AS value FROM lines WHERE eid % 59 = 0 AND brand IS NOT NULL""",
     "event_id_hash": f"WITH {_lines(True)} SELECT eid, batch, {EVENT_ID} AS event_id FROM lines",
     "typed_events": f"WITH {_bronze(dirty=True)} SELECT {_TYPED_COLUMNS} FROM bronze",
     "category_levels": f"""WITH {_lines(False)}
@@ -347,3 +363,25 @@ ORACLE: dict[str, str] = {
         SELECT report_date, brand, category_l1, count(*) AS row_count
         FROM doubled GROUP BY ALL HAVING count(*) > 1""",
 }
+
+_NO_FILE = FACT_COLUMNS.replace(" source_file,", "")
+
+# The same results by way of files, streams and the warehouse's own builds.
+ORACLE |= {
+    "warehouse_mart": ORACLE["marketing_report_incremental"],
+    "warehouse_replace_dates": ORACLE["marketing_report_replace_dates"],
+    "warehouse_full_refresh": ORACLE["marketing_report"],
+    "warehouse_fact": f"WITH {_bronze()},{_fact_two_runs()} SELECT {_NO_FILE} FROM fact",
+    "warehouse_metrics": f"WITH {_bronze()},{_fact_two_runs()} SELECT *, TIMESTAMP '{RUN_2}' AS measured_at FROM ("
+    + " UNION ALL ".join(f"({row.replace(MEASURED, RUN_2)})" for row in _METRIC_ROWS.values())
+    + ")",
+    "late_load_build": f"""WITH {_bronze()},
+        early AS (SELECT * FROM bronze WHERE _file_name = 'batch_1.csv'),{_fact("early", RUN_1, "fact_1")},
+        late AS (SELECT * FROM bronze WHERE _file_name = 'batch_2.csv'),{_fact("late", RUN_2, "fact_2")}
+        SELECT {FACT_COLUMNS} FROM fact_1
+        UNION ALL
+        SELECT {FACT_COLUMNS} FROM fact_2
+        WHERE NOT EXISTS (SELECT 1 FROM fact_1 WHERE fact_1.event_id = fact_2.event_id)""",
+    "raw_mart_job": ORACLE["raw_marketing_mart"],
+    "stream_to_bronze": f"WITH {_lines(False)} SELECT {LINE_COLUMNS} FROM lines",
+}

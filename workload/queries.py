@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,15 +23,31 @@ from tidemark.operators.marts import (
     raw_marketing_mart,
     report_date,
 )
+from tidemark.plans.raw_mart import build_raw_mart
 from tidemark.plans.reports import (
     fact_with_products,
     latest_report,
     metrics_by_name,
     preview_fact_with_products,
 )
+from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import EVENT_COLUMNS
-from tidemark.sources.json_messages import decode_events, encode_events
-from workload.bronze_view import MEASURED, RUN_1, RUN_2, bronze, event_lines, every, until, written
+from tidemark.sources.csv_files import read_events, rejected_rows
+from tidemark.sources.json_messages import decode_events, encode_events, malformed_messages
+from tidemark.streaming.ingest import csv_to_bronze
+from workload.bronze_view import (
+    INGESTED,
+    MEASURED,
+    RUN_1,
+    RUN_2,
+    bronze,
+    csv_folder,
+    event_lines,
+    every,
+    fresh_folder,
+    until,
+    written,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,19 +114,57 @@ def encode(spark, sf_dir):
 
 @query("decode_events")
 def decode(spark, sf_dir):
-    """Messages of all events; some are not JSON, not an object, lack a key or carry another one."""
-    rows = event_lines(spark, sf_dir)
-    whole = F.to_json(F.struct(*EVENT_COLUMNS))
-    without_brand = F.to_json(F.struct(*[c for c in EVENT_COLUMNS if c != "brand"]))
-    extra_key = F.to_json(F.struct(*EVENT_COLUMNS, F.lit("x").alias("campaign")))
+    return decode_events(_messages(spark, sf_dir))
+
+
+@query("malformed_messages")
+def malformed(spark, sf_dir):
+    return malformed_messages(_messages(spark, sf_dir)).select(F.col("value").cast("string").alias("value"))
+
+
+def _messages(spark, sf_dir) -> DataFrame:
+    """Messages of all events, written down. Some are not JSON, not one object, single-quoted, lack a key or carry
+    another one."""
+
+    def text(*columns) -> Column:
+        return F.to_json(F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns]))
+
+    rows = event_lines(spark, sf_dir).select("eid", *EVENT_COLUMNS)
+    parts = rows.select(
+        "eid",
+        text(*EVENT_COLUMNS).alias("whole"),
+        text(*[c for c in EVENT_COLUMNS if c != "brand"]).alias("without_brand"),
+    )
+    whole, quote = F.col("whole"), F.lit('"')
     value = (
         F.when(every(53), F.concat(F.lit("not json "), whole))
         .when(every(59), F.concat(F.lit("["), whole, F.lit("]")))
-        .when(every(61), without_brand)
-        .when(every(67), extra_key)
+        .when(every(71), F.concat(whole, F.lit(" "), whole))
+        .when(every(73), F.replace(whole, quote, F.lit("'")))
+        .when(every(61), F.col("without_brand"))
+        .when(every(67), F.concat(F.lit('{"campaign":"x",'), F.substr(whole, F.lit(2))))
         .otherwise(whole)
     )
-    return decode_events(rows.select(value.cast("binary").alias("value")))
+    return written(written(parts).select(value.cast("binary").alias("value")))
+
+
+def _ragged_files(spark, sf_dir) -> str:
+    """CSV files in which every 59th event with a brand has a field too many."""
+    rows = event_lines(spark, sf_dir)
+    brand = F.when(every(59), F.concat("brand", F.lit(",more"))).otherwise(F.col("brand"))
+    return csv_folder(rows.withColumn("brand", brand), quote=False)
+
+
+@query("csv_scan")
+def csv_scan(spark, sf_dir):
+    return read_events(spark, _ragged_files(spark, sf_dir), on_bad_row="quarantine").select(*EVENT_COLUMNS)
+
+
+@query("csv_rejects")
+def csv_rejects(spark, sf_dir):
+    """The writer marks the field that it did not quote with NUL characters."""
+    value = F.replace("value", F.lit("\u0000"), F.lit(""))
+    return rejected_rows(spark, _ragged_files(spark, sf_dir)).select(value.alias("value"))
 
 
 # -- silver
@@ -203,8 +257,8 @@ def _two_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 @query("incremental_delta")
 def incremental_delta_(spark, sf_dir):
-    rows = bronze(spark, sf_dir)
-    return incremental_delta(rows, "_ingested_at", _fact_after_run_1(rows), "_loaded_at")
+    rows = written(bronze(spark, sf_dir))
+    return incremental_delta(rows, "_ingested_at", written(_fact_after_run_1(rows)), "_loaded_at")
 
 
 @query("fact_events_incremental")
@@ -353,3 +407,76 @@ def dup_mart_grain(spark, sf_dir):
     """On a mart that holds the unknown brand's rows twice."""
     mart = written(_report(spark, sf_dir))
     return quality.duplicate_mart_grain(mart.unionByName(mart.filter("brand = '__UNKNOWN__'")))
+
+
+# -- the production path: CSV files, the warehouse's builds, the raw mart job and a file stream
+
+
+def _built(spark, sf_dir, **options) -> Warehouse:
+    """A warehouse after two ingests of CSV files and two builds."""
+    lines = written(event_lines(spark, sf_dir))
+    warehouse = Warehouse(spark, fresh_folder(spark), on_violation="record", **options)
+    for batch, as_of in ((1, RUN_1), (2, RUN_2)):
+        warehouse.ingest_csv(csv_folder(lines.filter(F.col("batch") == batch)), INGESTED[batch])
+        warehouse.build(as_of)
+    return warehouse
+
+
+@query("warehouse_mart")
+def warehouse_mart(spark, sf_dir):
+    return _built(spark, sf_dir).mart.read()
+
+
+@query("warehouse_replace_dates")
+def warehouse_replace_dates(spark, sf_dir):
+    return _built(spark, sf_dir, mart_mode="replace_dates").mart.read()
+
+
+@query("warehouse_full_refresh")
+def warehouse_full_refresh(spark, sf_dir):
+    """The first build saw batch 1 only; the refresh at the time of the second starts anew."""
+    lines = written(event_lines(spark, sf_dir))
+    warehouse = Warehouse(spark, fresh_folder(spark), on_violation="record")
+    warehouse.ingest_csv(csv_folder(lines.filter("batch = 1")), INGESTED[1])
+    warehouse.build(RUN_1)
+    warehouse.ingest_csv(csv_folder(lines.filter("batch = 2")), INGESTED[2])
+    warehouse.build(RUN_2, full_refresh=True)
+    return warehouse.mart.read()
+
+
+@query("warehouse_fact")
+def warehouse_fact(spark, sf_dir):
+    return _built(spark, sf_dir).fact.read().drop("source_file", "event_date")
+
+
+@query("warehouse_metrics")
+def warehouse_metrics(spark, sf_dir):
+    return _built(spark, sf_dir).metrics.read()
+
+
+@query("late_load_build")
+def late_load_build(spark, sf_dir):
+    """Batch 2 is committed after the first build but stamped before it."""
+    rows = written(bronze(spark, sf_dir))
+    warehouse = Warehouse(spark, fresh_folder(spark), on_violation="record")
+    first = F.col("_file_name") == "batch_1.csv"
+    warehouse.append_bronze(rows.filter(first), "first")
+    warehouse.build(RUN_1)
+    warehouse.append_bronze(rows.filter(~first).withColumn("_ingested_at", F.lit(INGESTED[1])), "late")
+    warehouse.build(RUN_2)
+    return warehouse.fact.read().drop("event_date")
+
+
+@query("raw_mart_job")
+def raw_mart_job(spark, sf_dir):
+    output = fresh_folder(spark)
+    build_raw_mart(spark, csv_folder(event_lines(spark, sf_dir, dirty=True)), output, RUN_2, on_bad_price="null")
+    return spark.read.parquet(output)
+
+
+@query("stream_to_bronze")
+def stream_to_bronze(spark, sf_dir):
+    landing = csv_folder(event_lines(spark, sf_dir))
+    warehouse = Warehouse(spark, fresh_folder(spark))
+    csv_to_bronze(warehouse, landing, fresh_folder(spark)).awaitTermination()
+    return warehouse.bronze.read().select(*EVENT_COLUMNS)
