@@ -7,7 +7,7 @@ import string
 
 import numpy as np
 
-# Chunks remembered in a task; later ones are encoded each time they come.
+# Chunks remembered in a task, at about 200 bytes each; later ones are encoded each time they come.
 CACHED_CHUNKS = 400_000
 
 
@@ -27,12 +27,13 @@ class WordTokens:
     ids equal those of the whole text, since no normalisation or pre-token of such a tokenizer spans a space.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.cached = cached
         self.known = _Known({"": b""})
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
@@ -53,7 +54,7 @@ class WordTokens:
         }
         known = self.known
         out = {c: b"".join([known[p] if p in known else found[p] for p in ps]) for c, ps in parts.items()}
-        if len(known) < CACHED_CHUNKS:
+        if len(known) < self.cached:
             known.update(found)
             known.update(out)
         return out
