@@ -131,15 +131,15 @@ def _shared_anchors(rows: DataFrame, groups: int) -> DataFrame:
                 keys = [np.array(part.column(i).to_pylist(), np.int64) for i in range(3)]
                 parts, blobs = [-1 - run], [_blob(*keys)]
                 order = np.argsort(group, kind="stable")
-                borders = np.searchsorted(group[order], np.arange(groups + 1))
-                for g in range(groups):
-                    mine = order[borders[g] : borders[g + 1]]
-                    if len(mine):
-                        per_row = np.bincount(row[mine], minlength=part.num_rows).astype(np.uint32)
-                        value = low[mine]
-                        halves = (value >> np.uint64(16)).astype(np.uint32), value.astype(np.uint16)
-                        parts.append(g)
-                        blobs.append(_blob(per_row, keys[1], *halves))
+                ranked = group[order]
+                for g in np.unique(group).tolist():
+                    mine = order[np.searchsorted(ranked, g) : np.searchsorted(ranked, g, side="right")]
+                    # Only rows with an anchor in the group, so blocks stay small however many groups there are.
+                    there, times = np.unique(row[mine], return_counts=True)
+                    value = low[mine]
+                    halves = (value >> np.uint64(16)).astype(np.uint32), value.astype(np.uint16)
+                    parts.append(g)
+                    blobs.append(_blob(there.astype(np.uint32), times.astype(np.uint32), keys[1][there], *halves))
                 yield _batch([parts, [run] * len(parts), blobs], ["part", "run", "blob"])
 
     def meet(group):
@@ -148,16 +148,16 @@ def _shared_anchors(rows: DataFrame, groups: int) -> DataFrame:
         if group["part"].iloc[0] < 0:
             return group
         blocks = [_arrays(b) for b in group["blob"]]
-        value = np.concatenate([b[2].astype(np.uint64) << np.uint64(16) | b[3] for b in blocks])
-        text = np.concatenate([np.repeat(b[1], b[0]) for b in blocks])
+        value = np.concatenate([b[3].astype(np.uint64) << np.uint64(16) | b[4] for b in blocks])
+        text = np.concatenate([np.repeat(b[2], b[1]) for b in blocks])
         order = np.argsort(value, kind="stable")
         new = np.r_[True, value[order][1:] != value[order][:-1]]
         of = np.cumsum(new) - 1
         other = text[order] != text[order][new][of]
         shared = np.zeros(len(value), bool)
         shared[order] = (np.bincount(of, weights=other) > 0)[of]
-        ends = np.cumsum([len(b[2]) for b in blocks])
-        blobs = [_blob(b[0], shared[e - len(b[2]) : e]) for b, e in zip(blocks, ends, strict=True)]
+        ends = np.cumsum([len(b[3]) for b in blocks])
+        blobs = [_blob(b[0], b[1], shared[e - len(b[3]) : e]) for b, e in zip(blocks, ends, strict=True)]
         return pd.DataFrame({"part": group["part"], "run": group["run"], "blob": blobs})
 
     def gather(group):
@@ -167,8 +167,8 @@ def _shared_anchors(rows: DataFrame, groups: int) -> DataFrame:
         keys = _arrays(group["blob"].iloc[0])
         blocks = [_arrays(b) for b in group["blob"].iloc[1:]]
         n = len(keys[0])
-        row = np.concatenate([np.repeat(np.arange(n), b[0]) for b in blocks] or [np.zeros(0, np.int64)])
-        bits = np.concatenate([b[1] for b in blocks] or [np.zeros(0, bool)])
+        row = np.concatenate([np.repeat(b[0], b[1]) for b in blocks] or [np.zeros(0, np.int64)])
+        bits = np.concatenate([b[2] for b in blocks] or [np.zeros(0, bool)])
         order = np.argsort(row, kind="stable")
         borders = np.searchsorted(row[order], np.arange(n + 1))
         bits = bits[order]
