@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import in_small_batches, slices, tidy
 
 SLICE_BYTES = 4 << 20
 # Text chunks and pattern matches remembered in a task; later ones are encoded each time they come.
@@ -251,4 +251,4 @@ def encode_and_decode(
                     columns += [pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(decoded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("_text")).mapInArrow(run, T.StructType(fields))
+    return in_small_batches(docs).select(F.col(key).alias(key), F.col(text).cast("string").alias("_text")).mapInArrow(tidy(run), T.StructType(fields))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,43 @@ def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+# Rows go to Python tasks in batches of at most so many bytes, however long their texts are.
+BATCH_BYTES = "4m"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session set to hand rows to Python in small batches."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, after which the task's memory goes back to the machine: Python workers
+    live on for later stages, and what they only keep in reserve would add up."""
+
+    def whole_task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return whole_task
+
+
+def release_memory() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # Of the C library; others have no such call.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, lineage cut.
 

@@ -8,7 +8,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column_slices, lower_ascii, saved, slices, text_buffers, text_or_empty
+from tidemark.llm.common import (
+    column_slices,
+    in_small_batches,
+    lower_ascii,
+    saved,
+    slices,
+    text_buffers,
+    text_or_empty,
+    tidy,
+)
 
 # Labelled rows on which the text model is fitted, and the languages it may tell apart, the most frequent first.
 TRAIN_ROWS = 20_000
@@ -57,7 +66,7 @@ class TextModel:
     @staticmethod
     def fit(labelled: DataFrame, text: str = "text", label: str = "lang", rows: int = TRAIN_ROWS) -> TextModel:
         """Window counts by label over a bounded sample, summed in Spark; only the table comes to the driver."""
-        known = labelled.where(F.col(label).isNotNull() & (F.trim(F.col(label)) != ""))
+        known = in_small_batches(labelled).where(F.col(label).isNotNull() & (F.trim(F.col(label)) != ""))
         tops = known.groupBy(F.lower(F.trim(label)).alias("l")).count().orderBy(F.desc("count"), "l")
         counted = tops.limit(MOST_LANGUAGES).collect()
         languages = sorted(r["l"] for r in counted)
@@ -83,7 +92,7 @@ class TextModel:
         sample = known.select(F.lower(F.trim(label)).alias("l"), text_or_empty(text).alias("t"))
         if total > rows:
             sample = sample.sample(rows / total, seed=11)
-        parts = sample.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+        parts = sample.mapInArrow(tidy(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
         sums = np.zeros(len(languages) * CELLS)
         sums[parts["cell"].to_numpy()] = parts["n"].to_numpy()
         sums = sums.reshape(len(languages), CELLS)
@@ -169,7 +178,7 @@ def identify(
             }
         )
 
-    seen = evidence(rows)
+    seen = evidence(in_small_batches(rows))
     guess = F.array_position("_ll", F.array_max("_ll")).cast("int")
     # One row for each host, suffix, guess and declaration, written once; all that follows works on these counts.
     told = saved(

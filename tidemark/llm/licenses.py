@@ -9,7 +9,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import lower_ascii, rolling, slices, span_hashes, text_buffers, text_or_empty, word_spans
+from tidemark.llm.common import (
+    in_small_batches,
+    lower_ascii,
+    rolling,
+    slices,
+    span_hashes,
+    text_buffers,
+    text_or_empty,
+    tidy,
+    word_spans,
+)
 
 # The phrases that carry a label by themselves.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -137,7 +147,7 @@ def base_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases=
                 )
 
     source = _key(docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("_text")), "_text")
-    return source.select(key, "_k1", "_k2", "_text").mapInArrow(run, T.StructType(fields))
+    return source.select(key, "_k1", "_k2", "_text").mapInArrow(tidy(run), T.StructType(fields))
 
 
 def template_grams(docs: DataFrame, templates=TEMPLATES, k: int = K) -> DataFrame:
@@ -173,7 +183,7 @@ def gram_hits(docs: DataFrame, text: str = "text", templates=TEMPLATES, k: int =
                 )
 
     source = docs.select(text_or_empty(text).alias("_text")).select(F.xxhash64("_text").alias("_k1"), "_text")
-    grams = source.mapInArrow(run, "_k1 long, pos long, _hash long")
+    grams = source.mapInArrow(tidy(run), "_k1 long, pos long, _hash long")
     hits = grams.join(F.broadcast(template_grams(docs, templates, k)), "_hash")
     return hits.select("_k1", "template", "t_pos", "pos").distinct()
 
@@ -259,7 +269,7 @@ def verified_labels(docs: DataFrame, spans: DataFrame, text: str = "text", templ
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow_schema = to_arrow_schema(schema)
-    one = met.select("_k1", "_k2", "_text", "_spans").mapInArrow(run, schema)
+    one = met.select("_k1", "_k2", "_text", "_spans").mapInArrow(tidy(run), schema)
     return one.groupBy("_k1", "_k2").agg(
         F.first("found").alias("found"), F.first("coverage").alias("coverage"), F.first("spans").alias("spans")
     )
@@ -272,7 +282,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=TEM
     text: no words, no labels, score 0. Null and repeated keys: row by row; equal texts are voted on once. No rows:
     no rows. Other columns are not read, whatever their names. Texts are read whole.
     """
-    base = base_scan(docs, key, text, phrases)
+    base = base_scan(in_small_batches(docs), key, text, phrases)
     found = verified_labels(docs, voted_spans(gram_hits(docs, text, templates, k), k), text, templates)
     joined = base.join(found, ["_k1", "_k2"], "left")
     labels = F.sort_array(F.array_union("base_labels", F.coalesce("found", F.array().cast("array<string>"))))

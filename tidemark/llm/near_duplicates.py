@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import (
     SPACED_WORD_BYTES,
+    in_small_batches,
     lower_ascii,
     mix,
     rolling,
@@ -18,6 +19,7 @@ from tidemark.llm.common import (
     slices,
     span_hashes,
     text_buffers,
+    tidy,
     word_spans,
 )
 from tidemark.llm.components import components
@@ -123,7 +125,7 @@ def _sketched(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
                     names=[f.name for f in fields],
                 )
 
-    return docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("_text")).mapInArrow(run, T.StructType(fields))
+    return docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("_text")).mapInArrow(tidy(run), T.StructType(fields))
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, k: int) -> DataFrame:
@@ -145,7 +147,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, k: int) -
                     [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "shingles"]
                 )
 
-    return met.mapInArrow(run, T.StructType([T.StructField("node", docs.schema[key].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))]))
+    return met.mapInArrow(tidy(run), T.StructType([T.StructField("node", docs.schema[key].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))]))
 
 
 def _alike(inner: Column, left: Column, right: Column, percent: int) -> Column:
@@ -272,7 +274,7 @@ def deduplicate(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: s
     text: an empty set, linked with nothing. Rows that share an id are one document. A null id is linked with
     nothing, its component is null and it is kept. No rows: no rows. Other columns are not read. Texts are whole.
     """
-    sketched = saved(_sketched(docs, key, text, k))
+    sketched = saved(_sketched(in_small_batches(docs), key, text, k))
     found = components(links(docs, sketched, key, text, percent, k))
     equal = (
         sketched.where("n > 0 AND id IS NOT NULL")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import in_small_batches, slices, tidy
 from tidemark.llm.words import WordTokens
 
 MAX_LENGTH = 2048
@@ -101,8 +101,8 @@ def pack(
                     columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    source = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("_text"))
-    pieces = source.mapInArrow(run, schema)
+    source = in_small_batches(docs).select(F.col(key).alias(key), F.col(text).cast("string").alias("_text"))
+    pieces = source.mapInArrow(tidy(run), schema)
     return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 

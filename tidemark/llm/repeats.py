@@ -16,7 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import mix, saved, slices, spread, text_buffers, text_or_empty, texts_by_hash
+from tidemark.llm.common import (
+    in_small_batches,
+    mix,
+    saved,
+    slices,
+    spread,
+    text_buffers,
+    text_or_empty,
+    texts_by_hash,
+    tidy,
+)
 
 LENGTH = 50
 # An anchor is a string of so many bytes; each LENGTH bytes hold one whose hash is the least of theirs.
@@ -176,7 +186,7 @@ def _shared_anchors(rows: DataFrame, groups: int) -> DataFrame:
         masks = [np.packbits(bits[borders[i] : borders[i + 1]]).tobytes() for i in some]
         return pd.DataFrame({**{c: k[some] for c, k in zip(_ROW, keys, strict=True)}, "mask": masks})
 
-    sent = rows.mapInArrow(hashed, "part long, run long, blob binary")
+    sent = rows.mapInArrow(tidy(hashed), "part long, run long, blob binary")
     back = sent.groupBy("part").applyInPandas(meet, "part long, run long, blob binary")
     masks = back.groupBy("run").applyInPandas(gather, "id long, d1 long, d2 long, mask binary")
     return masks.groupBy(*_ROW).agg(F.first("mask").alias("mask"))
@@ -253,7 +263,7 @@ def _runs(met: DataFrame, borders: list[bytes], groups: int) -> DataFrame:
                     blobs.append(_blob(*front_code(single[a:b]), least[a:b]))
                 yield _batch([parts, [run] * len(parts), blobs], ["part", "run", "blob"])
 
-    return met.mapInArrow(make, "part long, run long, blob binary")
+    return met.mapInArrow(tidy(make), "part long, run long, blob binary")
 
 
 # ---------------------------------------------------------------- merge
@@ -395,6 +405,8 @@ def _merged(runs: DataFrame) -> DataFrame:
             np.minimum.at(least, place, block[2])
         table = least_by_window(items, least, np.array(prefix))
         blobs = []
+        # Workers keep what they took; the strings of a merge go back before the next stage.
+        del coded, kept, items
         for place in of:
             mine = table[place]
             starts = np.ones(mine.shape, bool)
@@ -476,7 +488,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     A text equal to that of a smaller id goes whole, if it has LENGTH bytes, and takes no further part.
     """
     body = text_or_empty(text)
-    rows = docs.select(
+    rows = in_small_batches(docs).select(
         F.col(key).cast("long").alias("id"),
         F.xxhash64(body).alias("d1"),
         F.xxhash64(F.lit(1), body).alias("d2"),
@@ -549,7 +561,7 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             T.StructField("kept_sha256", T.StringType()),
         ]
     )
-    return find_repeats(docs, key, text).select("id", "text", "ranges").mapInArrow(run, schema)
+    return find_repeats(docs, key, text).select("id", "text", "ranges").mapInArrow(tidy(run), schema)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
