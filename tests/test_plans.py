@@ -78,8 +78,8 @@ def test_incremental_scans_are_pruned(spark, tmp_path, bronze_frame):
     w.append_bronze(bronze_frame(event(), at=DAY), "1")
     w.build(datetime(2020, 1, 1, 1))
     w.append_bronze(bronze_frame(event(user_session="2"), at=datetime(2020, 1, 2)), "2")
-    assert w._consume("20200103", False) == ["2"]
-    files = w.bronze.read(w._consume("20200103", False)).inputFiles()
+    assert w._plan("20200103", False) == ["2"]
+    files = w.bronze.read(w._plan("20200103", False)).inputFiles()
     assert files and all("/load=2/" in f for f in files)
     dates = w._dates(w.fact.read())
     text = plan(w._on_dates(w.fact.read(), "event_date", dates).select("event_id"))

@@ -12,6 +12,7 @@ from tests.test_sources import write_csv
 from tidemark import QualityError, Warehouse
 from tidemark.clock import as_of_column, label
 from tidemark.operators.incremental import watermark
+from tidemark.operators.quality import fact_summary, summary_of_totals
 from tidemark.schemas import EVENT_COLUMNS
 from workload.bronze_view import INGESTED, RUN_1, RUN_2, bronze
 
@@ -168,9 +169,35 @@ def test_load_committed_late_is_not_lost(spark, tmp_path, bronze_frame):
     assert (w.fact.read().count(), w.products.read().count(), w.users.read().count()) == (2, 2, 2)
 
 
+def test_loads_of_a_build_given_up_are_taken_by_the_next(spark, tmp_path, bronze_frame, monkeypatch):
+    w = warehouse(spark, tmp_path)
+    load(w, bronze_frame(event()), "1")
+    for step in ("_build_fact", "_build_dimension"):
+        with monkeypatch.context() as patch:
+            patch.setattr(w, step, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError, match="lost"):
+                w.build(DAY + timedelta(hours=1 if step == "_build_fact" else 2))
+    w.build(DAY + timedelta(hours=3))
+    assert (w.fact.read().count(), w.products.read().count(), w.users.read().count()) == (1, 1, 1)
+
+
+def test_totals_by_date_equal_the_summary_of_the_fact(spark, tmp_path, bronze_frame):
+    w = warehouse(spark, tmp_path)
+    times = ["2019-10-01 00:00:00", "2019-10-02 00:00:00", "?"]
+    for i in range(3):
+        batch = [event(event_time=t, user_session=str(i)) for t in times[i:]]
+        load(w, bronze_frame(*batch, event(user_session=None), event(event_type="purchase", price="0")), str(i))
+        w.build(DAY + timedelta(hours=i))
+    columns = sorted(fact_summary(w.fact.read()).columns)
+    assert rows(summary_of_totals(w.totals.read()).select(columns)) == rows(fact_summary(w.fact.read()).select(columns))
+    assert sorted(str(r[0]) for r in w.totals.read().select("event_date").collect()) == ["2019-10-01", "2019-10-02", "None"]
+    # The last build touched two of the three dates.
+    assert w.totals.read([w.totals.labels()[-1]]).count() == 2
+
+
 def test_load_stamped_ahead_counts_once(spark, tmp_path, bronze_frame):
     w = warehouse(spark, tmp_path)
-    load(w, bronze_frame(event(), event(user_session=""), at=DAY + timedelta(days=9)), "1")
+    load(w, bronze_frame(event(), event(user_session=None), at=DAY + timedelta(days=9)), "1")
     assert w.build(DAY + timedelta(hours=2)).fact_rows == 2
     result = w.build(DAY + timedelta(hours=3))
     assert (result.fact_rows, result.violations) == (0, {})

@@ -52,6 +52,37 @@ def fact_summary(fact: DataFrame) -> DataFrame:
     return totals.withColumn("distinct_ids", distinct_ids.scalar())
 
 
+def fact_totals_by_date(fact: DataFrame) -> DataFrame:
+    """The totals of ``fact_summary`` for each ``event_date``, the NULL date included.
+
+    Equal ids have equal event times, so an id belongs to one date and distinct counts of dates add up.
+    """
+    ids = fact.groupBy("event_date", "event_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.when(complete_keys(), 1).otherwise(0)).alias("complete_rows"),
+        F.sum(F.when(invalid_purchase_price(), 1).otherwise(0)).alias("invalid_price_rows"),
+        F.max("_loaded_at").alias("max_loaded_at"),
+    )
+    return ids.groupBy("event_date").agg(
+        F.sum("rows").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("event_id").isNotNull(), F.col("rows"))), F.lit(0)).alias("rows_with_id"),
+        F.sum("complete_rows").alias("complete_rows"),
+        F.sum("invalid_price_rows").alias("invalid_price_rows"),
+        F.max("max_loaded_at").alias("max_loaded_at"),
+        F.count("event_id").alias("distinct_ids"),
+    )
+
+
+def summary_of_totals(totals: DataFrame) -> DataFrame:
+    """One row like ``fact_summary``'s, from totals by date."""
+    sums = [F.sum(c).alias(c) for c in ("complete_rows", "invalid_price_rows")]
+    return totals.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "rows_with_id", "distinct_ids")],
+        *sums,
+        F.max("max_loaded_at").alias("max_loaded_at"),
+    )
+
+
 def metrics_from(summary: DataFrame, as_of: datetime | None, names: tuple[str, ...] = METRICS) -> DataFrame:
     """The one-row summary as one row per metric; totals no requested metric needs are not computed.
 

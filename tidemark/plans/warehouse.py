@@ -24,9 +24,10 @@ from tidemark.operators.ingest import (
 from tidemark.operators.marts import GRAIN, marketing_report
 from tidemark.operators.quality import (
     duplicate_mart_grain,
-    fact_summary,
+    fact_totals_by_date,
     failed_fact_checks,
     metrics_from,
+    summary_of_totals,
 )
 from tidemark.sources.csv_files import by_header, list_csv, read_events, rejected_rows
 from tidemark.sources.files import move_into
@@ -54,8 +55,9 @@ class Warehouse:
     """Bronze, silver and gold. Builds run one at a time; loads may be committed while a build runs.
 
     A build decides once which bronze loads it consumes: all that are whole when it starts and that no build had
-    before, whatever time they are stamped with. It writes their labels down first, and takes the fact and both
-    dimensions from them, so no load is missed and none counts twice.
+    finished, whatever time they are stamped with. It writes their labels down first, takes the fact and both
+    dimensions from them, and then notes them as consumed, so no load is missed and none counts twice. Of a build that
+    was given up half way, the next one takes the loads again; their ids are known by then.
     """
 
     def __init__(
@@ -85,7 +87,9 @@ class Warehouse:
         report_date = T.StructField("report_date", T.DateType())
         self.bronze = self._table("bronze_raw_events", schemas.BRONZE, ingest_date, rebalance=False)
         self.quarantine = self._table("bronze_quarantine", schemas.QUARANTINE)
+        self.planned = self._table("planned_loads", schemas.CONSUMED)
         self.consumed = self._table("consumed_loads", schemas.CONSUMED)
+        self.totals = self._table("fact_totals", schemas.FACT_TOTALS, event_date, newest_only=True)
         self.fact = self._table("fact_events", schemas.FACT_EVENTS, event_date)
         self.null_ids = self._table("fact_events_without_id", schemas.FACT_EVENTS)
         self.products = self._table("dim_products", schemas.DIM_PRODUCTS)
@@ -156,37 +160,46 @@ class Warehouse:
         """
         self._require_advance(as_of)
         load = label(as_of)
-        loads = self._consume(load, full_refresh)
+        loads = self._plan(load, full_refresh)
         self._build_fact(loads, as_of, load, full_refresh)
         self._build_dimension(self.products, dim_products, "product_id", loads, load, full_refresh)
         self._build_dimension(self.users, dim_users, "user_id", loads, load, full_refresh)
 
+        self._note_consumed(loads, load, full_refresh)
+
         fact = self.fact.read()
-        summary = fact_summary(fact).first()
+        self._build_totals(fact, load, full_refresh)
+        summary = summary_of_totals(self.totals.read()).first()
         violations = failed_fact_checks(summary)
         self._stop_on(violations)
 
         self._build_mart(fact, as_of, load, full_refresh)
-        surplus = duplicate_mart_grain(self.mart.read()).agg(F.sum(F.col("row_count") - 1)).first()[0]
+        # Groups of other loads were checked when these were written.
+        surplus = duplicate_mart_grain(self.mart.read([load])).agg(F.sum(F.col("row_count") - 1)).first()[0]
         if surplus:
             violations["mart_grain_unique"] = surplus
             self._stop_on(violations)
 
-        one_row = self.spark.createDataFrame([summary], self._summary_schema(fact))
+        one_row = self.spark.createDataFrame([summary], summary_of_totals(self.totals.read()).schema)
         self.metrics.replace(metrics_from(one_row, as_of).coalesce(1), load)
-        for table in (self.consumed, self.fact, self.null_ids, self.products, self.users, self.mart, self.metrics):
+        for table in (self.planned, self.consumed, self.totals, self.fact, self.null_ids, self.products, self.users, self.mart, self.metrics):
             table.expire()
         loaded = self.fact.read([load]).count()
         return BuildResult(as_of, loaded, violations)
 
-    def _consume(self, load: str, full_refresh: bool) -> list[str]:
+    def _plan(self, load: str, full_refresh: bool) -> list[str]:
         """The bronze loads of this build, decided and written down once; a repeated build finds its own again."""
-        if load not in self.consumed.labels():
+        if load not in self.planned.labels():
             taken = set() if full_refresh else {r["bronze_load"] for r in self.consumed.read().collect()}
-            fresh = [(b,) for b in self.bronze.labels() if b not in taken]
-            rows = self.spark.createDataFrame(fresh, schemas.CONSUMED).coalesce(1)
-            (self.consumed.replace if full_refresh else self.consumed.append)(rows, load)
-        return [r["bronze_load"] for r in self.consumed.read([load]).collect()]
+            self.planned.append(self._labels_frame([b for b in self.bronze.labels() if b not in taken]), load)
+        return [r["bronze_load"] for r in self.planned.read([load]).collect()]
+
+    def _note_consumed(self, loads: list[str], load: str, full_refresh: bool) -> None:
+        if not self._done(self.consumed, load, full_refresh):
+            (self.consumed.replace if full_refresh else self.consumed.append)(self._labels_frame(loads), load)
+
+    def _labels_frame(self, labels: list[str]) -> DataFrame:
+        return self.spark.createDataFrame([(x,) for x in labels], schemas.CONSUMED).coalesce(1)
 
     def _build_fact(self, loads: list[str], as_of: datetime, load: str, full_refresh: bool) -> None:
         if self._done(self.fact, load, full_refresh):
@@ -221,6 +234,17 @@ class Warehouse:
         if not delta.isEmpty():
             table.replace(upsert(table.read(), latest(delta), [key]), load)
 
+    def _build_totals(self, fact: DataFrame, load: str, full_refresh: bool) -> None:
+        """Totals of the dates that got new rows; the others stand as an earlier build left them."""
+        if self._done(self.totals, load, full_refresh):
+            return
+        if full_refresh or not self.totals.labels():
+            self.totals.replace(fact_totals_by_date(fact), load)
+            return
+        dates = self._dates(self.fact.read([x for x in self.fact.labels() if x > self.totals.labels()[-1]]))
+        if dates:
+            self.totals.append(fact_totals_by_date(self._on_dates(fact, "event_date", dates)), load)
+
     def _build_mart(self, fact: DataFrame, as_of: datetime, load: str, full_refresh: bool) -> None:
         if self._done(self.mart, load, full_refresh):
             return
@@ -268,7 +292,3 @@ class Warehouse:
     def _stop_on(self, violations: dict[str, int]) -> None:
         if violations and self.on_violation == "raise":
             raise QualityError(violations)
-
-    @staticmethod
-    def _summary_schema(fact: DataFrame) -> T.StructType:
-        return fact_summary(fact).schema

@@ -96,6 +96,18 @@ QUARANTINE = T.StructType(
     ]
 )
 
+# Totals of the fact by event date, of which metrics and checks are made.
+FACT_TOTALS = T.StructType(
+    [
+        T.StructField("rows", T.LongType()),
+        T.StructField("rows_with_id", T.LongType()),
+        T.StructField("complete_rows", T.LongType()),
+        T.StructField("invalid_price_rows", T.LongType()),
+        T.StructField("max_loaded_at", T.TimestampType()),
+        T.StructField("distinct_ids", T.LongType()),
+    ]
+)
+
 CONSUMED = T.StructType([T.StructField("bronze_load", T.StringType())])
 
 CONTRACT = {
