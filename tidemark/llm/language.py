@@ -29,7 +29,7 @@ EVIDENCE = 60.0
 # Rows that the level above counts as, at each level of the priors.
 PRIOR_WEIGHT = 20.0
 LEAST_CONFIDENCE = 0.5
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def _cells(column) -> tuple[np.ndarray, np.ndarray]:

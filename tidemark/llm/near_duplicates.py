@@ -27,7 +27,7 @@ from tidemark.llm.components import components
 SHINGLE = 5
 # 32 bands of 6 coordinates miss a pair of similarity 0.85 about once in four million, one of 0.8 once in 17,000.
 BANDS, ROWS = 32, 6
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 # Buckets up to this size give all their pairs. Of larger ones the links to one member come first, then only what
 # is still apart is compared, block by block.
 SMALL_BUCKET = 32

@@ -16,7 +16,7 @@ from tidemark.llm.words import WordTokens
 MAX_LENGTH = 2048
 END_ID = 1
 # Texts handled at once in a task.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def power_of_two_pieces(n: int, longest: int = MAX_LENGTH) -> list[tuple[int, int]]:

@@ -35,9 +35,9 @@ SPAN = LENGTH - GRAM + 1
 LEFT = LENGTH - GRAM
 # A suffix as it is sorted: LENGTH bytes from the anchor on, LEFT bytes before it backwards, and how many of each exist.
 ITEM = LENGTH + LEFT + 2
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 # Text in MB for each group of anchor hashes, and for each key range of suffixes.
-HASH_GROUP_MB, RANGE_MB = 32, 16
+HASH_GROUP_MB, RANGE_MB = 16, 8
 # Anchors looked at to lay the borders of the key ranges; they set the balance, never the result.
 SAMPLE_TEXTS = 400
 _ROW = ("id", "d1", "d2")
