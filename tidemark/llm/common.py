@@ -25,7 +25,7 @@ def text_or_empty(column: str | Column = "text") -> Column:
 
 
 # Rows go to Python tasks in batches of at most so many bytes, however long their texts are.
-BATCH_BYTES = "2m"
+BATCH_BYTES = "4m"
 
 
 def in_small_batches(df: DataFrame) -> DataFrame:
