@@ -368,6 +368,23 @@ def test_each_token_is_scored_once():
     assert seen.tolist() == [len(t) for t in texts]
 
 
+def test_attention_learns_from_all_training_texts(spark, monkeypatch):
+    """What stands only outside the texts of the start, or in a text beyond 64 KiB, counts for held-out texts."""
+    monkeypatch.setattr(scoring, "TRAIN_TEXTS", 2)
+    ids = [i for i in range(400) if not scoring.held_out(i)]
+    held = next(i for i in range(400) if scoring.held_out(i))
+    common = [(i, t) for i, t in zip(ids[:30], sentences(30, 4), strict=True)]
+    rare = "ωμέγα θάλασσα ουρανός "
+    long = (ids[30], "\n".join(sentences(400, 6)) + "\n" + rare * 1_000)
+    short = [(i, rare * 3) for i in ids[31:61]]
+    assert len(long[1].encode()) > 1 << 16
+    found = []
+    for more in ([], [long], short):
+        rows = spark.createDataFrame([*common, *more, (held, rare * 5)], "doc_id long, text string").repartition(3)
+        found.append(by_id(scoring.score(rows, WORD_TOKENS), "score")[held][0])
+    assert found[1] > 0.8 * found[0] and found[2] > 0.8 * found[0]
+
+
 # ---------------------------------------------------------------- all of them
 
 
