@@ -194,6 +194,19 @@ def test_language_of_awkward_rows(spark, docs, nothing):
     assert language.keep_known(nothing).count() == 0
 
 
+def test_rare_and_many_languages_are_learnt(spark):
+    rows = [(i, "the quick brown fox jumps over", "en") for i in range(21_000)]
+    rows += [(30_000, "ωμέγα θάλασσα ουρανός γη", "el")]
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    rows += [(40_000 + i, f"q{a}{b}{a}z{b}{b}{a}q " * 5, f"{a}{b}x") for i, (a, b) in enumerate(zip(alphabet * 3, "abc" * 26, strict=True))]
+    docs = spark.createDataFrame([(i, t, x, "s", None) for i, t, x in rows], DOCUMENTS).repartition(4)
+    model = language.TextModel.fit(docs)
+    assert set(model.languages) == {x for _, _, x in rows} and len(model.languages) > 64
+    assert all(model.table.max(0) > model.table.min(0))
+    kept = {r["doc_id"] for r in language.keep_known(docs.where("doc_id >= 30000"), model).collect()}
+    assert 30_000 in kept
+
+
 # ---------------------------------------------------------------- embeddings
 
 

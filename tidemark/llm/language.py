@@ -19,9 +19,9 @@ from tidemark.llm.common import (
     tidy,
 )
 
-# Labelled rows on which the text model is fitted, and the languages it may tell apart, the most frequent first.
+# Labelled rows on which the text model is fitted, spread over the languages, and of each language at least so many.
 TRAIN_ROWS = 20_000
-MOST_LANGUAGES = 64
+LEAST_ROWS = 200
 # Three-byte windows are hashed into so many cells; the model is a table of cells by languages.
 CELLS = 1 << 16
 # Neighbouring windows repeat the same evidence: a text counts as if it had at most so many of them.
@@ -65,10 +65,13 @@ class TextModel:
 
     @staticmethod
     def fit(labelled: DataFrame, text: str = "text", label: str = "lang", rows: int = TRAIN_ROWS) -> TextModel:
-        """Window counts by label over a bounded sample, summed in Spark; only the table comes to the driver."""
+        """Window counts by label, summed in Spark; only the table comes to the driver.
+
+        Every label is learnt. Of each about ``rows`` / labels rows are read, LEAST_ROWS at least, and all where it
+        has no more.
+        """
         known = in_small_batches(labelled).where(F.col(label).isNotNull() & (F.trim(F.col(label)) != ""))
-        tops = known.groupBy(F.lower(F.trim(label)).alias("l")).count().orderBy(F.desc("count"), "l")
-        counted = tops.limit(MOST_LANGUAGES).collect()
+        counted = known.groupBy(F.lower(F.trim(label)).alias("l")).count().collect()
         languages = sorted(r["l"] for r in counted)
         total = sum(r["count"] for r in counted)
         if not languages:
@@ -78,20 +81,22 @@ class TextModel:
         def count(batches):
             import pyarrow as pa
 
-            sums = np.zeros((len(languages), CELLS), np.int64)
             for batch in batches:
                 for part in slices(batch, SLICE_BYTES):
                     cells, upto = _cells(part.column(1))
-                    row = np.array([place.get(v, -1) for v in part.column(0).to_pylist()])
-                    of = np.repeat(row, np.diff(upto))
-                    flat = np.bincount(of[of >= 0] * CELLS + cells[of >= 0], minlength=sums.size)
-                    sums += flat.reshape(sums.shape)
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums.ravel()[at])], names=["cell", "n"])
+                    row = np.array([place[v] for v in part.column(0).to_pylist()])
+                    # However many languages there are, a task holds the cells of one slice.
+                    at, n = np.unique(np.repeat(row, np.diff(upto)) * CELLS + cells, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["cell", "n"])
 
         sample = known.select(F.lower(F.trim(label)).alias("l"), text_or_empty(text).alias("t"))
         if total > rows:
-            sample = sample.sample(rows / total, seed=11)
+            # A label with twice its part or fewer rows is read whole, so that none can be left without a row.
+            part = max(LEAST_ROWS, rows // len(languages))
+            shares = {r["l"]: part / r["count"] for r in counted if r["count"] > 2 * part}
+            if shares:
+                share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+                sample = sample.where(F.rand(seed=11) < F.coalesce(F.try_element_at(share, "l"), F.lit(1.0)))
         parts = sample.mapInArrow(tidy(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
         sums = np.zeros(len(languages) * CELLS)
         sums[parts["cell"].to_numpy()] = parts["n"].to_numpy()
