@@ -279,6 +279,26 @@ def test_notice_with_changed_words_is_found_where_it_stands(spark):
     assert (row["spans"][0]["first_word"], row["spans"][0]["end_word"]) == (30, 30 + len(notice))
 
 
+def test_licenses_of_like_wording_are_told_apart(spark):
+    cases = {
+        "licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-SA 4.0": "cc-by-sa",
+        "licensed under CC BY-NC 4.0": "cc-by-nc",
+        "License: CC BY-NC 4.0": "cc-by-nc",
+        "licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+        "released under the mit": "",
+        "licensed under the mozilla license version 2.0": "",
+        "this work is licensed under the gnu free documentation license version 3": "",
+        "licensed under CC BY-NC 3.0": "cc-by-nc",
+    }
+    texts = [f"lorem ipsum. {t}. dolor sit" for t in cases]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = by_id(rows, "labels")
+    assert [found[i][0] for i in range(len(texts))] == list(cases.values())
+
+
 # ---------------------------------------------------------------- near duplicates
 
 

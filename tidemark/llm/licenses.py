@@ -55,7 +55,36 @@ TEMPLATES = (
         "redistribution and use in source and binary forms with or without modification are permitted provided that "
         "the following conditions are met",
     ),
+    # The other members of the Creative Commons family, and the short forms of all.
+    *[
+        (f"{label} form {i}", label, form)
+        for label, short, long in (
+            ("cc-by", "", ""),
+            ("cc-by-nc", "nc ", "noncommercial "),
+            ("cc-by-sa", "sa ", "sharealike "),
+            ("cc-by-nd", "nd ", "noderivatives "),
+            ("cc-by-nc-sa", "nc sa ", "noncommercial sharealike "),
+            ("cc-by-nc-nd", "nc nd ", "noncommercial noderivatives "),
+        )
+        for i, form in enumerate(
+            (
+                f"licensed under cc by {short}4 0",
+                f"license cc by {short}4 0",
+                f"this work is licensed under a creative commons attribution {long}4 0 international license",
+            )
+        )
+    ],
 )
+# Words that name a license; a template's must all stand in the span. Labels name no version, so numbers may differ.
+NAMING = frozenset("mit apache gnu general public creative commons attribution cc nc sa nd".encode().split())
+# Terms that change the license wherever they are put in, by the words that say them.
+TERMS = {
+    **dict.fromkeys((b"nc", b"noncommercial", b"commercial"), "nc"),
+    **dict.fromkeys((b"sa", b"sharealike", b"alike"), "sa"),
+    **dict.fromkeys((b"nd", b"noderivatives", b"noderivs", b"derivatives"), "nd"),
+}
+# Templates with fewer words must have the word license, too.
+SHORT = 6
 K = 4
 # Diagonals at most so far apart belong to one occurrence with words put in or left out.
 NEIGHBOURS = 2
@@ -205,10 +234,28 @@ def voted_spans(hits: DataFrame, k: int = K, neighbours: int = NEIGHBOURS) -> Da
 
 def covered(template: list[bytes], span: list[bytes]) -> float:
     """The share of the template's words that stand in the span in the same order."""
+    return _fit(template, span)[0]
+
+
+def _fit(template: list[bytes], span: list[bytes]) -> tuple[float, set[bytes], list[bytes]]:
+    """The share of ``covered``, the template's words that are missing, and the span from first to last match."""
     from difflib import SequenceMatcher
 
-    blocks = SequenceMatcher(None, template, span, autojunk=False).get_matching_blocks()
-    return sum(b.size for b in blocks) / max(1, len(template))
+    blocks = [b for b in SequenceMatcher(None, template, span, autojunk=False).get_matching_blocks() if b.size]
+    have = {i for b in blocks for i in range(b.a, b.a + b.size)}
+    missing = {w for i, w in enumerate(template) if i not in have}
+    inside = span[blocks[0].b : blocks[-1].b + blocks[-1].size] if blocks else []
+    return len(have) / max(1, len(template)), missing, inside
+
+
+def names_it(template: list[bytes], missing: set[bytes], inside: list[bytes]) -> bool:
+    """Whether the span names the template's license and not another one of its family."""
+    must = NAMING | {b"license"} if len(template) < SHORT else NAMING
+    if missing & must:
+        return False
+    family = b"cc" in template or b"attribution" in template
+    terms = lambda words: {TERMS[w] for w in words if w in TERMS}
+    return not family or terms(template) == terms(inside)
 
 
 def verified_labels(docs: DataFrame, spans: DataFrame, text: str = "text", templates=TEMPLATES, share: float = COVERED) -> DataFrame:
@@ -231,9 +278,15 @@ def verified_labels(docs: DataFrame, spans: DataFrame, text: str = "text", templ
                 for s in row["_spans"]:
                     label, shape = shapes[s["template"]]
                     first = max(0, s["first"] - len(shape))
-                    score = covered(shape, words[first : s["last"] + len(shape)])
-                    if score >= share:
+                    score, missing, inside = _fit(shape, words[first : s["last"] + len(shape)])
+                    if score >= share and names_it(shape, missing, inside):
                         found.append((label, score, s["first"], s["last"]))
+                # Where spans of different licenses overlap, the best fit wins.
+                found = [
+                    f
+                    for f in found
+                    if not any(g[0] != f[0] and g[1] > f[1] and g[2] < f[3] and f[2] < g[3] for g in found)
+                ]
                 if found:
                     out.append(
                         {
