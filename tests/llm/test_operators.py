@@ -351,6 +351,25 @@ def test_repeats_with_null_and_repeated_ids(spark, nothing):
     assert repeats.remove_repeats(rows).columns == rows.columns
 
 
+def test_slices_do_not_depend_on_the_order_of_arrival(docs, monkeypatch):
+    orders, runs = [], repeats._runs
+
+    def seen(met, borders, groups):
+        def keys(batches):
+            for batch in batches:
+                yield batch.select(["id", "d1", "d2"])
+
+        for source in (met, met):
+            rows = source.mapInArrow(keys, "id long, d1 long, d2 long")
+            orders.append(rows.rdd.glom().map(lambda p: [tuple(r) for r in p]).collect())
+        return runs(met, borders, groups)
+
+    monkeypatch.setattr(repeats, "_runs", seen)
+    repeats.measure(docs.unionAll(docs.selectExpr("doc_id + 1000", "text", "lang", "source", "n_chars")).repartition(7)).count()
+    assert any(len(p) > 1 for p in orders[0])
+    assert all(p == sorted(p) for order in orders for p in order)
+
+
 def test_merge_of_runs_never_compares_known_prefixes():
     pick = random.Random(8)
     pool = np.frombuffer(bytes(pick.choice(b"ab") for _ in range(repeats.ITEM * 300)), np.uint8).reshape(300, -1)

@@ -508,6 +508,8 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     borders = _borders(sized, ranges)
     # Both joins read the same rows, so the texts are shuffled once.
     met = named.join(masks.hint("shuffle_hash"), list(_ROW)).select(*_ROW, "text", "mask")
+    # Slices are numbered by row order: a task that runs again after a lost executor must cut the same ones.
+    met = met.sortWithinPartitions(*_ROW)
     covered = _covered(_merged(_runs(met, borders, groups)))
     plan = covered.unionByName(later.withColumn("ranges", F.lit(b"all")))
     out = named.join(plan.hint("shuffle_hash"), list(_ROW), "left").select("id", "text", "_row", "ranges")
