@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -68,10 +69,35 @@ def saved(df: DataFrame) -> DataFrame:
     temporary one made.
     """
     spark = df.sparkSession
+    _checkpoint_folder(spark)
+    return df.checkpoint(eager=True)
+
+
+def _checkpoint_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table in the checkpoint folder, lineage cut: for what is large or read in part,
+    since its readers take only the columns and row groups they need."""
+    path = f"{_checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Tables of at most so many short rows are broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, which are counted for it; else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def spread(df: DataFrame, mb_per_partition: int, bytes_column: Column, least: int = 1) -> int:
@@ -194,3 +220,8 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tu
 
 SPACED_WORD_BYTES = np.ones(256, bool)
 SPACED_WORD_BYTES[[32, 9, 10, 11, 12, 13]] = False
+
+# Words of letters, digits and all that is not ASCII, in lower-cased text.
+PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+PLAIN_WORD_BYTES = np.zeros(256, bool)
+PLAIN_WORD_BYTES[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True

@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embeddings, language, licenses, near_duplicates, packing, quality, repeats, scoring, sharding
-from tidemark.llm.common import table
+from tidemark.llm import (
+    bpe,
+    decontamination,
+    embeddings,
+    language,
+    licenses,
+    near_duplicates,
+    packing,
+    periodic,
+    quality,
+    repeats,
+    resampling,
+    scoring,
+    sharding,
+)
+from tidemark.llm.common import WORD, table
 
 SHARDS = 16
 
@@ -65,6 +79,29 @@ def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """In each tenth document (by the hash of its id) the words from one on become repetitions of those behind it."""
+    h, words = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    cut = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    cut = cut.withColumns({"n": F.size("words"), "g": F.expr("h div 10")}).withColumn("a", F.expr("IF(n > 0, g % n, 0)"))
+    cut = cut.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    planted = "array_join(transform(words, (w, i) -> IF(i < a, w, words[int(a + (i - a) % p)])), ' ')"
+    return cut.select("doc_id", F.expr(f"IF(n > 0, {planted}, text)").alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic.collapse(docs, with_text=False).drop("runs", "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -76,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeats": op9_repeats,
     "op10_scoring": op10_scoring,
+    "op11_decontamination": op11_decontamination,
+    "op12_resampling": op12_resampling,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLE: dict[str, str] = {
