@@ -102,9 +102,8 @@ def tiles_worth_solving(ids: np.ndarray, octave: int, n: int) -> Iterator[tuple[
         rows = hashes[step - block : size - block].reshape(tiles - 1, step)
         hit[1:] |= rows[:, octave:] == rows[:, :1]
     at, period = np.nonzero(hit)
-    borders = np.flatnonzero(np.diff(at, prepend=-1))
-    for first, last in zip(borders, [*borders[1:], len(at)], strict=True):
-        yield int(at[first]) * step, (period[first:last] + octave).tolist()
+    for tile in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at)) + 1) if len(at) else ():
+        yield int(at[tile[0]]) * step, (period[tile] + octave).tolist()
 
 
 class _Texts:
