@@ -8,7 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from tests.compare import differences, duckdb_over
 from tests.llm import brute
 
 from tidemark.llm import decontamination, periodic, queries, resampling
@@ -245,27 +245,16 @@ def test_planted_runs(frame, repetitive):
 # ---------------------------------------------------------------- whole tables
 
 
-@pytest.fixture(scope="module")
-def small(spark):
-    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
-    marks = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()]
-    return docs, marks
+COLUMNS = {
+    "op11_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op12_resampling": "doc_id n_features weight score rank",
+    "op13_periodic": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+}
 
 
-def test_queries_on_given_tables(spark, small):
-    docs, marks = small
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_queries_equal_their_twins(spark, name):
     folder = "/root/testdata/sf0.001"
-    got = queries.op11_decontamination(spark, folder)
-    assert got.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    expected = {i: (n, h, len(f), digest(f), h > 0) for i, (n, h, f) in brute.contamination(docs, marks).items()}
-    assert {r["doc_id"]: tuple(r)[1:] for r in got.collect()} == expected and any(e[4] for e in expected.values())
-    got = queries.op12_resampling(spark, folder)
-    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
-    assert {r["doc_id"]: tuple(r)[1:] for r in got.collect()} == brute.resampling(docs, [t for _, t in marks])
-    got = queries.op13_periodic(spark, folder).select(
-        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
-    )
-    assert {d for _, d in got.dtypes} == {"bigint", "string"}
-    planted = expected_collapse([(i, brute.planted_runs(i, t)) for i, t in docs if len(t or "") < 6000])
-    mine = {r["doc_id"]: tuple(r)[1:] for r in got.where(F.col("doc_id").isin(list(planted))).collect()}
-    assert mine == {i: e[1:8] for i, e in planted.items()}
+    count, problems = differences(spark, duckdb_over(folder), queries.QUERIES[name], queries.ORACLE[name], folder)
+    assert (count, problems) == (200, [])
+    assert queries.QUERIES[name](spark, folder).columns == COLUMNS[name].split()

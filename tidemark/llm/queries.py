@@ -22,6 +22,7 @@ from tidemark.llm import (
     resampling,
     scoring,
     sharding,
+    twins,
 )
 from tidemark.llm.common import WORD, table
 
@@ -120,4 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op6_quality": quality.ORACLE_SQL,
+    "op11_decontamination": twins.DECONTAMINATION,
+    "op12_resampling": twins.RESAMPLING,
+    "op13_periodic": twins.PERIODIC,
 }
