@@ -80,7 +80,6 @@ def test_pieces_are_powers_of_two_and_gapless(n):
 
 def test_packing(docs, texts):
     library = Tokenizer.from_file(WORD_TOKENS)
-    library.encode_special_tokens = True
     rows = packing.pack(docs, WORD_TOKENS).collect()
     assert len({r["sequence_id"] for r in rows}) == len(rows)
     for i, text in texts:
@@ -93,21 +92,40 @@ def test_packing(docs, texts):
             assert r["length"] == 2 ** r["bucket"]
 
 
-def test_word_tokens_at_odd_borders():
+@pytest.mark.parametrize("cached", [1_000_000, 10])
+def test_word_tokens_at_odd_borders(cached):
     import pyarrow as pa
 
     from tidemark.llm.words import WordTokens
 
     library = Tokenizer.from_file(WORD_TOKENS)
-    library.encode_special_tokens = True
     pick = random.Random(4)
-    signs = ["a", "B", "'s", "'", ".", "…", "́", "̸", "<", "5", "Ⅷ", "字", " ", "\n", "\x1c", "　", "İ", "Σ", "<|endoftext|>"]
-    made = ["".join(pick.choices(signs, k=pick.randint(0, 12))) for _ in range(3000)]
-    ours = WordTokens(WORD_TOKENS).encode(pa.array(made))
-    theirs = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(made, add_special_tokens=False)]
+    signs = ["a", "B", "'s", "'", ".", "…", "́", "̸", "<", "5", "Ⅷ", "字", " ", "\n", "\t", "\x1c", "　", "İ", "Σ", "Ñ", "ß"]
+    signs += ["<|endoftext|>", "<|", "|>", "×", "÷", "ÿ", "é", "the", "ing", "-", "(", "\x00", "w" * 47, "🙂", "\r\n", "ǅ", "ſ"]
+    made: list = ["".join(pick.choices(signs, k=pick.randint(0, 12))) for _ in range(6000)]
+    made += [" ".join(pick.choices(["tion", "con", "ñas", "über", "x", "qu"], k=9)).replace(" ", "", 5) for _ in range(3000)]
+    ids, borders = WordTokens(WORD_TOKENS, cached).encode(pa.array([*made, None]))
+    theirs = [e.ids for e in library.encode_batch(made, add_special_tokens=False)]
+    ours = [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:], strict=True)]
+    assert ours.pop() == []
     assert [m for m, a, b in zip(made, ours, theirs, strict=True) if a != b] == []
 
 
+def test_remembered_pieces_do_not_change_ids():
+    import pyarrow as pa
+
+    from tidemark.llm.words import WordTokens
+
+    parts = [pa.array(sentences(30, i)) for i in range(6)]
+    all_known, forgetful = WordTokens(WORD_TOKENS), WordTokens(WORD_TOKENS, 50)
+    for part in parts * 2:
+        (a, at), (b, bt) = all_known.encode(part), forgetful.encode(part)
+        assert a.tolist() == b.tolist() and at.tolist() == bt.tolist()
+    for empty in (pa.array([], pa.string()), pa.array([None, ""], pa.string())):
+        ids, borders = all_known.encode(empty)
+        assert len(ids) == 0 and borders.tolist() == [0] * (len(empty) + 1)
+
+
 # ---------------------------------------------------------------- byte-level BPE
 
 

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import in_small_batches, slices, tidy
-from tidemark.llm.words import WordTokens
+from tidemark.llm.words import CACHED_CHUNKS, WordTokens, with_ends
 
 MAX_LENGTH = 2048
 END_ID = 1
 # Texts handled at once in a task.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 
 
 def power_of_two_pieces(n: int, longest: int = MAX_LENGTH) -> list[tuple[int, int]]:
@@ -41,7 +41,7 @@ def pack(
     key: str = "doc_id",
     text: str = "text",
     with_ids: bool = True,
-    cached_chunks: int = 700_000,
+    cached_chunks: int = CACHED_CHUNKS,
 ) -> DataFrame:
     """One row per sequence: a power-of-two piece of one document, so nothing is padded and none crosses documents.
 
@@ -70,20 +70,20 @@ def pack(
         import pyarrow as pa
 
         tokens = WordTokens(tokenizer, cached_chunks)
-        end = np.uint32(end_id).astype("<u4").tobytes()
         for batch in batches:
             for part in slices(batch, SLICE_BYTES):
                 rows, starts, lengths, crcs, totals, ids = [], [], [], [], [], []
-                for row, encoded in enumerate(tokens.encode(part.column(1))):
-                    body = memoryview(encoded + end)
-                    total = len(body) // 4
-                    for start, length in power_of_two_pieces(total, max_length):
-                        piece = body[4 * start : 4 * (start + length)]
+                encoded, borders = tokens.encode(part.column(1))
+                encoded, borders = with_ends(encoded, borders, end_id)
+                whole = memoryview(encoded.astype("<u4", copy=False)).cast("B")
+                for row, (first, last) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)):
+                    for start, length in power_of_two_pieces(last - first, max_length):
+                        piece = whole[4 * (first + start) : 4 * (first + start + length)]
                         rows.append(row)
                         starts.append(start)
                         lengths.append(length)
                         crcs.append(zlib.crc32(piece))
-                        totals.append(total)
+                        totals.append(last - first)
                         if with_ids:
                             ids.append(piece)
                 sizes = np.array(lengths, np.int64)
