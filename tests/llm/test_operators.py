@@ -241,6 +241,16 @@ def test_embeddings(spark, monkeypatch):
     assert embeddings.deduplicate(frame.limit(0)).count() == 0
 
 
+def test_embeddings_of_extreme_size(spark):
+    """Huge and tiny vectors link by their direction and leave the links of others alone."""
+    rows = [(0, [1.0, 1.0]), (1, [2.0, 2.0]), (2, [1e200, 1e200]), (3, [1e308, 1e308]), (4, [1e-200, 0.0]), (5, [5e-324, 0.0])]
+    rows += [(6, [1.0, 0.0]), (7, [-1e300, 1e-300]), (8, [1e308, 1.0]), (9, [0.0, -0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = by_id(embeddings.deduplicate(frame), "n_links", "component_id", key="vec_id")
+    alike = {i: 0 for i in range(4)} | {i: 4 for i in (4, 5, 6, 8)} | {7: 7, 9: 9}
+    assert found == {i: (3 if i in (0, 1, 2, 3, 4, 5, 6, 8) else 0, alike[i]) for i in range(10)}
+
+
 def test_cover_tree_covers():
     points = np.random.default_rng(3).normal(size=(200, 5))
     points /= np.linalg.norm(points, axis=1, keepdims=True)
@@ -252,6 +262,32 @@ def test_cover_tree_covers():
         assert (gaps <= radius[parent] + 1e-9).all()
 
 
+# ---------------------------------------------------------------- language: clashes and regions
+
+
+def test_language_beside_columns_of_its_own_names(spark):
+    rows = [(i, t, "en-US" if i % 2 else "EN_gb", "s", "x", "y", "z", 1) for i, t in enumerate(sentences(40, 8))]
+    names = "doc_id long, text string, lang string, source string, language string, known string, _is_known string, _ll int"
+    frame = spark.createDataFrame(rows, names)
+    model = language.TextModel.fit(frame)
+    assert model.languages == ["en"]
+    judged = language.of_documents(frame, model)
+    assert set(judged.columns) == set(frame.columns) | {"confidence"}
+    assert {(r["language"], r["known"]) for r in judged.collect()} == {("en", True)}
+    kept = language.keep_known(frame)
+    assert kept.columns == frame.columns
+    assert sorted(map(tuple, kept.collect())) == sorted(rows)
+
+
+def test_declarations_with_regions_count(spark):
+    """Declared regions agree with labels, so what is declared decides where the text does not."""
+    rows = [(i, "der die und ist nicht", "de-AT", "s") for i in range(30)] + [(30 + i, "the and is not of", "en-US", "s") for i in range(30)]
+    rows += [(100, "the and", "de-CH", "s"), (101, "qxqx", "de_DE", "s"), (102, "qxqx", "en", "s")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = by_id(language.of_documents(frame, language.TextModel.fit(frame)), "language")
+    assert (found[101], found[102]) == (("de",), ("en",))
+
+
 # ---------------------------------------------------------------- quality
 
 

@@ -21,6 +21,17 @@ MARGIN = 1e-6
 LEAST_RADIUS = 0.05
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that their largest component is between a half and one: cosines stay what
+    they are, and no square overflows or vanishes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(-1, keepdims=True))[1])
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+
 def cover_levels(points: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """A cover tree of unit vectors as levels from the root down: ``(centres, parent, radius)``.
 
@@ -78,6 +89,7 @@ def dual_links(x: np.ndarray, a: Levels, y: np.ndarray, b: Levels, least: float)
     Both cover trees are walked together from their roots. A pair of nodes goes on to its children only if the
     distance of their centres, less both covering radii, does not exceed the distance that the cosine allows.
     """
+    x, y = scaled(x), scaled(y)
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     ux, uy = x / nx[:, None], y / ny[:, None]
     limit = np.sqrt(max(0.0, 2 - 2 * least)) + MARGIN
@@ -165,15 +177,14 @@ def deduplicate(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", co
     pivots: dict[int, list[list[float]]] = {}
     for row in picked:
         pivots.setdefault(len(row["v"]), []).append(row["v"])
-    unit = {d: np.array(p) / np.linalg.norm(np.array(p), axis=1, keepdims=True) for d, p in pivots.items()}
+    unit = {d: units(np.array(p)) for d, p in pivots.items()}
     limit = float(np.sqrt(max(0.0, 2 - 2 * least))) + MARGIN
 
     def gaps(column) -> Iterator[tuple[int, np.ndarray]]:
         """Length of each vector and its distances to the pivots of that length (one cell at 0 if there are none)."""
         for v in column.to_pylist():
-            x = np.array(v)
             if len(v) in unit:
-                yield len(v), np.sqrt(np.maximum(0, 2 - 2 * unit[len(v)] @ (x / np.linalg.norm(x))))
+                yield len(v), np.sqrt(np.maximum(0, 2 - 2 * unit[len(v)] @ units(np.array(v))))
             else:
                 yield len(v), np.zeros(1)
 
@@ -228,8 +239,8 @@ def deduplicate(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", co
 
         import pandas as pd
 
-        x = np.array(group["v"].tolist())
-        levels = cover_levels(x / np.linalg.norm(x, axis=1, keepdims=True))
+        x = scaled(np.array(group["v"].tolist()))
+        levels = cover_levels(units(x))
         narrow = x.astype(np.float32)
         x = narrow if (narrow == x).all() else x
         tree = pickle.dumps((group["node"].tolist(), group["copies"].to_numpy(), x, levels), protocol=5)

@@ -56,6 +56,11 @@ def _cells(column) -> tuple[np.ndarray, np.ndarray]:
     return cells[inside], np.concatenate([[0], ends])
 
 
+def _tag(language: Column) -> Column:
+    """The language of a label or declaration, in lower case and without region or script."""
+    return F.substring_index(F.substring_index(F.lower(F.trim(language.cast("string"))), "-", 1), "_", 1)
+
+
 class TextModel:
     """Log-likelihoods of three-byte windows by language, fitted on labelled rows."""
 
@@ -67,11 +72,12 @@ class TextModel:
     def fit(labelled: DataFrame, text: str = "text", label: str = "lang", rows: int = TRAIN_ROWS) -> TextModel:
         """Window counts by label, summed in Spark; only the table comes to the driver.
 
-        Every label is learnt. Of each about ``rows`` / labels rows are read, LEAST_ROWS at least, and all where it
+        Every label is learnt; those that differ in region or script only are one. Of each about ``rows`` / labels rows are read, LEAST_ROWS at least, and all where it
         has no more.
         """
-        known = in_small_batches(labelled).where(F.col(label).isNotNull() & (F.trim(F.col(label)) != ""))
-        counted = known.groupBy(F.lower(F.trim(label)).alias("l")).count().collect()
+        tagged = in_small_batches(labelled).select(_tag(F.col(label)).alias("l"), text_or_empty(text).alias("t"))
+        known = tagged.where("l <> ''")
+        counted = known.groupBy("l").count().collect()
         languages = sorted(r["l"] for r in counted)
         total = sum(r["count"] for r in counted)
         if not languages:
@@ -89,7 +95,7 @@ class TextModel:
                     at, n = np.unique(np.repeat(row, np.diff(upto)) * CELLS + cells, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["cell", "n"])
 
-        sample = known.select(F.lower(F.trim(label)).alias("l"), text_or_empty(text).alias("t"))
+        sample = known
         if total > rows:
             # A label with twice its part or fewer rows is read whole, so that none can be left without a row.
             part = max(LEAST_ROWS, rows // len(languages))
@@ -153,7 +159,8 @@ def identify(
     known is false where the text has no window, where no language fits it better than even odds over all cells,
     or where the best posterior is below ``LEAST_CONFIDENCE``. Null or blank text: language null, confidence 0, not
     known. Null declared, suffix or host: no evidence, the level above counts. Ties go to the language that sorts
-    first. Repeated rows are judged alike; no rows: no rows; all columns of ``rows`` are kept.
+    first. Repeated rows are judged alike; no rows: no rows. All columns of ``rows`` are kept, but for those named like
+    one of the three, which give way to it.
     """
     n = len(model.languages)
     names = {c: f"{prefix}{c}" for c in ("language", "confidence", "known")}
@@ -169,11 +176,10 @@ def identify(
     even = F.array(*[F.lit(1.0 / n)] * n)
 
     def evidence(df: DataFrame) -> DataFrame:
-        said = F.substring_index(F.substring_index(F.lower(F.trim(declared)), "-", 1), "_", 1)
         return df.select(
             F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"),
             model.likelihoods(text_or_empty(text)).alias("_scores"),
-            F.array_position(languages, F.coalesce(said, F.lit(""))).cast("int").alias("_said"),
+            F.array_position(languages, F.coalesce(_tag(declared), F.lit(""))).cast("int").alias("_said"),
             F.coalesce(F.lower(suffix), F.lit("")).alias("_suffix"),
             F.coalesce(F.lower(host), F.lit("")).alias("_host"),
         ).withColumns(
@@ -229,7 +235,7 @@ def identify(
     best = F.array_position("_log", top).cast("int")
     fits = F.array_max("_ll") > F.lit(-float(np.log(CELLS)))
     return posterior.select(
-        "_row.*",
+        *[F.col(f"_row.`{c}`").alias(c) for c in rows.columns if c not in names.values()],
         F.when(some, languages[best - 1]).alias(names["language"]),
         F.when(some, confidence).otherwise(0.0).alias(names["confidence"]),
         (some & fits & (confidence >= LEAST_CONFIDENCE)).alias(names["known"]),
@@ -252,5 +258,6 @@ def of_pages(pages: DataFrame, model: TextModel, prefix: str = "") -> DataFrame:
 
 def keep_known(docs: DataFrame, model: TextModel | None = None) -> DataFrame:
     """The documents whose language is known, with the columns they came with."""
-    judged = of_documents(docs, model or TextModel.fit(docs), prefix="_is_")
-    return judged.where("_is_known").select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_document")
+    judged = of_documents(docs.select(whole, "text", "lang", "source"), model or TextModel.fit(docs))
+    return judged.where("known").select("_document.*")
