@@ -204,8 +204,9 @@ class WordTokens:
         data, offsets = text_buffers(column)
         kind, low = lower_letters(data)
         starts, ends, borders = word_spans(data, offsets, _KIND != SPACE)
-        letters = np.concatenate([[0], np.cumsum(kind == LETTER)])
-        others = np.concatenate([[0], np.cumsum(kind == OTHER)])
+        letters, others = (np.zeros(len(kind) + 1, np.int32) for _ in range(2))
+        np.cumsum(kind == LETTER, out=letters[1:])
+        np.cumsum(kind == OTHER, out=others[1:])
         size = letters[ends] - letters[starts]
         plain = (size > 0) & (size <= LONGEST) & (others[ends] == others[starts]) & (letters[starts + size] - letters[starts] == size)
         middle = np.where(plain, starts + size, ends)
