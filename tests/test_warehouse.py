@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +13,12 @@ from tests.conftest import event, rows
 from tests.test_sources import write_csv
 from tidemark import QualityError, Warehouse
 from tidemark.clock import as_of_column, label
-from tidemark.operators.incremental import watermark
+from tidemark.operators.contract import contract_violations
+from tidemark.operators.incremental import upsert, watermark
+from tidemark.operators.ingest import skip_ingested_files
 from tidemark.operators.quality import fact_summary, summary_of_totals
 from tidemark.schemas import EVENT_COLUMNS
+from tidemark.sources.csv_files import list_csv
 from workload.bronze_view import INGESTED, RUN_1, RUN_2, bronze
 
 DAY = datetime(2020, 1, 1)
@@ -110,7 +115,7 @@ def test_failed_check_stops_before_gold(spark, tmp_path, bronze_frame):
         w.build(DAY + timedelta(hours=1))
     assert failure.value.violations == {"purchase_price_positive": 1}
     assert w.fact.read().count() == 1
-    assert w.mart.labels() == w.metrics.labels() == []
+    assert w.mart.read().isEmpty() and w.metrics.read().isEmpty()
 
 
 def test_rows_without_id_in_quarantine(spark, tmp_path, bronze_frame):
@@ -138,14 +143,15 @@ def test_interrupted_build_goes_on(spark, tmp_path, bronze_frame, monkeypatch):
     assert rows(w.mart.read().agg(F.sum("total_views"))) == [(3,)]
 
 
-def test_half_written_load_does_not_count(spark, tmp_path, bronze_frame):
+def test_half_written_load_does_not_count(spark, tmp_path, bronze_frame, monkeypatch):
     w = warehouse(spark, tmp_path)
     load(w, bronze_frame(event()), "1")
-    half = tmp_path / "bronze_raw_events" / "generation=00000001" / "load=2"
-    bronze_frame(event(user_session="half")).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", False).parquet(
-        str(half / "ingest_date=2020-01-01")
-    )
+    with monkeypatch.context() as patch:
+        patch.setattr(w.ledger, "write", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            load(w, bronze_frame(event(user_session="half"), event(user_session="more")), "2")
     assert w.bronze.read().count() == 1
+    assert w.build(DAY + timedelta(hours=1)).fact_rows == 1
     load(w, bronze_frame(event(user_session="whole")), "2")
     load(w, bronze_frame(event(user_session="again")), "2")
     assert sorted(rows(w.bronze.read().select("user_session"))) == [("s",), ("whole",)]
@@ -192,7 +198,8 @@ def test_totals_by_date_equal_the_summary_of_the_fact(spark, tmp_path, bronze_fr
     assert rows(summary_of_totals(w.totals.read()).select(columns)) == rows(fact_summary(w.fact.read()).select(columns))
     assert sorted(str(r[0]) for r in w.totals.read().select("event_date").collect()) == ["2019-10-01", "2019-10-02", "None"]
     # The last build touched two of the three dates.
-    assert w.totals.read([w.totals.labels()[-1]]).count() == 2
+    last = w.touched.read().where(F.col("build") == label(DAY + timedelta(hours=2))).select("event_date")
+    assert sorted(str(r[0]) for r in last.collect()) == ["2019-10-01", "None"]
 
 
 def test_load_stamped_ahead_counts_once(spark, tmp_path, bronze_frame):
@@ -270,11 +277,142 @@ def test_many_dates_and_rows_without_date(spark, tmp_path, bronze_frame):
     assert rows(w.mart.read().agg(F.sum("total_views"))) == [(5,)]
 
 
-def test_old_generations_expire(spark, tmp_path, bronze_frame):
+def test_files_follow_dates_not_builds(spark, tmp_path, bronze_frame):
     w = warehouse(spark, tmp_path)
-    load(w, bronze_frame(event()), "1")
-    for i in range(4):
-        w.build(DAY + timedelta(hours=i + 1), full_refresh=True)
-    assert len(list((tmp_path / "fact_events").glob("generation=*"))) == 2
-    assert w.fact.labels() == [label(DAY + timedelta(hours=4))]
-    assert rows(watermark(w.fact.read(), "_loaded_at")) == [(DAY + timedelta(hours=4),)]
+    for i in range(6):
+        load(w, bronze_frame(event(user_session=str(i)), event(event_time="?", user_session=str(i))), str(i))
+        assert w.build(DAY + timedelta(hours=i)).fact_rows == 2
+    for table in (w.fact, w.mart, w.totals):
+        assert len(list(Path(table.path).rglob("*.parquet"))) <= 2
+    assert w.fact.read().count() == 12
+    assert rows(w.mart.read().select("total_views")) == [(6,)]
+    assert rows(watermark(w.fact.read(), "_loaded_at")) == [(DAY + timedelta(hours=5),)]
+
+
+@pytest.mark.parametrize("step", ["same time", "given up"])
+def test_full_refresh_at_any_time(spark, tmp_path, bronze_frame, monkeypatch, step):
+    """Whatever came before, a full refresh equals a fresh warehouse of the same loads."""
+    batches = [
+        [event(user_session=str(i)) for i in range(5)] + [event(user_session=None, product_id="3")],
+        [event(user_session=str(i), brand="new", event_time="2019-10-02 00:00:00 UTC") for i in range(3)] + [event(user_session=None)],
+    ]
+    old, new = warehouse(spark, tmp_path / "old"), warehouse(spark, tmp_path / "new")
+    for i, batch in enumerate(batches):
+        for w in (old, new):
+            load(w, bronze_frame(*batch, file=f"{i}.csv", at=DAY + timedelta(days=i)), str(i))
+        old.build(DAY + timedelta(days=i))
+    at = DAY + timedelta(days=1, hours=0 if step == "same time" else 1)
+    if step == "given up":
+        with monkeypatch.context() as patch:
+            patch.setattr(old, "_build_dimension", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError, match="lost"):
+                old.build(at, full_refresh=True)
+        # A build that is not asked to start anew does so then.
+        at += timedelta(hours=1)
+    assert old.build(at, full_refresh=step != "given up").fact_rows == new.build(at).fact_rows == 9
+    for name in ("fact", "mart", "products", "users", "metrics", "totals"):
+        assert content(getattr(old, name).read()) == content(getattr(new, name).read()), name
+    # And the next build goes on from there.
+    load(old, bronze_frame(event(user_session="0"), event(user_session="next"), at=DAY + timedelta(days=2)), "next")
+    assert old.build(DAY + timedelta(days=2)).fact_rows == 1
+
+
+@pytest.mark.parametrize("table", ["fact", "products", "mart"])
+def test_replacement_cut_off_half_way(spark, tmp_path, bronze_frame, monkeypatch, table):
+    """The new rows are staged when the job dies in the middle of putting them in place, some of the old ones gone."""
+    w = warehouse(spark, tmp_path)
+    dates = ["2019-10-01 00:00:00 UTC", "2019-10-02 00:00:00 UTC"]
+    load(w, bronze_frame(*[event(event_time=d) for d in dates]), "1")
+    w.build(DAY)
+    second = [event(event_time=d, user_session="2", brand="new") for d in dates] + [event(user_session=None)]
+    load(w, bronze_frame(*second, at=DAY + timedelta(days=1)), "2")
+    with monkeypatch.context() as patch:
+
+        def die():
+            folder = Path(getattr(w, table).path)
+            shutil.rmtree((sorted(folder.glob("*=*")) or [folder])[0])
+            raise RuntimeError("lost")
+
+        patch.setattr(getattr(w, table), "settle", lambda calls=iter([lambda: None, die]): next(calls)())
+        with pytest.raises(RuntimeError, match="lost"):
+            w.build(DAY + timedelta(days=1))
+    w.build(DAY + timedelta(days=1, hours=1))
+    assert w.fact.read().count() == 5
+    assert content(w.products.read().select("product_id", "brand")) == [(1, "new")]
+    mart = content(w.mart.read().select("report_date", "brand", "total_views"))
+    october = [date(2019, 10, 1), date(2019, 10, 2)]
+    assert mart == [(october[0], "acme", 1), (october[0], "new", 3), (october[1], "acme", 1), (october[1], "new", 2)]
+
+
+def test_dates_are_pruned_when_the_build_runs(spark, tmp_path, bronze_frame):
+    w = warehouse(spark, tmp_path)
+    for i in range(3):
+        load(w, bronze_frame(event(event_time=f"2019-10-0{i + 1} 00:00:00 UTC"), at=DAY + timedelta(days=i)), str(i))
+        w.build(DAY + timedelta(days=i))
+    dates = w.touched.read().where(F.col("build") > label(DAY + timedelta(days=1))).select("event_date").distinct()
+    facts = w._on_dates(dates)
+    plan = facts._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan
+    assert facts.count() == 1
+    assert len({r[0] for r in facts.select(F.col("event_date")).collect()}) == 1
+
+
+def test_builds_read_the_loads_they_need(spark, tmp_path, bronze_frame):
+    w = warehouse(spark, tmp_path)
+    for i in range(3):
+        load(w, bronze_frame(event(user_session=str(i))), str(i))
+    plan = w.bronze_of(["1"])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(load" in plan
+    assert w.bronze_of(["1"]).inputFiles() and all("load=1" in f for f in w.bronze_of(["1"]).inputFiles())
+
+
+def test_ledger_remembers_files_without_good_rows(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_csv(landing / "good.csv", event(), event())
+    write_csv(landing / "header_only.csv")
+    write_csv(landing / "bad_only.csv")
+    with open(landing / "bad_only.csv", "a") as file:
+        file.write("a,b\nc\n")
+    w = warehouse(spark, tmp_path / "warehouse")
+    counts = {"good.csv": 2, "header_only.csv": 0, "bad_only.csv": 0}
+    assert w.ingest_csv(str(landing), DAY, on_bad_row="quarantine") == counts
+    for i in range(2):
+        assert w.ingest_csv(str(landing), DAY + timedelta(hours=i), on_bad_row="quarantine") == {}
+    assert sorted(rows(w.ledger.read().select("_file_name", "rows_loaded", "rows_rejected"))) == [
+        ("bad_only.csv", 0, 2),
+        ("good.csv", 2, 0),
+        ("header_only.csv", 0, 0),
+    ]
+    assert w.quarantine.read().count() == 2
+    # What decides is the ledger: bronze is not part of the plan.
+    listed = skip_ingested_files(list_csv(spark, str(landing)), w.ledger.read())
+    assert "bronze_raw_events" not in listed._jdf.queryExecution().toString()
+
+
+def test_drifted_files_stop_a_build_before_gold(spark, tmp_path, bronze_frame):
+    w = warehouse(spark, tmp_path, on_violation="raise")
+    load(w, bronze_frame(event(), event(event_time="2019-10-02 00:00:00 UTC")), "1")
+    assert w.build(DAY).violations == {}
+    assert w.contract_violations().isEmpty()
+    # Another job appends files of its own making to one date.
+    alien = spark.createDataFrame([("x", "17", 1)], "event_id string, product_id string, campaign int")
+    alien.write.mode("append").parquet(w.fact.partition_path(date(2019, 10, 1)))
+    found = {(r.column_name, r.found) for r in w.contract_violations().collect()}
+    assert found == {(None, "several types")}
+    load(w, bronze_frame(event(event_time="2019-10-02 00:00:00 UTC", user_session="2"), at=DAY + timedelta(days=1)), "2")
+    # The other date is sound.
+    assert w.build(DAY + timedelta(days=1)).violations == {}
+    other = Path(w.users.path)
+    renamed = spark.createDataFrame([(1, "n")], "user_id int, name string")
+    renamed.write.mode("overwrite").parquet(str(other))
+    faults = {(r.column_name, r.declared, r.found, r.row_count) for r in contract_violations(spark, "dim_users", [str(other)]).collect()}
+    assert ("name", None, "string", 1) in faults and ("user_surname", "string", None, 1) in faults
+    assert len(faults) == 4
+
+
+def test_upsert_refuses_unsound_sources(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    for source in ([(2, "b"), (2, "c")], [(None, "b")]):
+        with pytest.raises(Exception, match="share a key or lack one"):
+            upsert(target, spark.createDataFrame(source, "k int, v string"), ["k"]).collect()
+    assert content(upsert(target, spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])) == [(1, "b"), (2, "c")]

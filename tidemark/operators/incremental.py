@@ -52,11 +52,18 @@ def anti_append(candidates: DataFrame, existing: DataFrame, key: str) -> DataFra
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``source`` replace target rows of equal keys, or are added. Source keys: unique, not NULL.
+    """Rows of ``source`` replace target rows of equal keys, or are added.
 
-    One full outer join, so each side is evaluated once. ``duplicate_or_null_keys`` finds sources that break the rule.
+    One full outer join, so each side is evaluated once. Source keys have to be unique and not NULL; the plan checks it
+    on the shuffle by key that the join needs anyway and fails, as a MERGE does. ``duplicate_or_null_keys`` tells which.
     """
-    new = source.select(F.struct(*target.columns).alias("_new"), *[F.col(k).alias(f"_new_{k}") for k in keys])
+    named = [f"_new_{k}" for k in keys]
+    new = source.select(F.struct(*target.columns).alias("_row"), *[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)])
+    unsound = F.count(F.lit(1)).over(Window.partitionBy(*named)) > 1
+    for n in named:
+        unsound = unsound | F.col(n).isNull()
+    stop = F.raise_error(F.lit(f"upsert: source rows share a key or lack one ({', '.join(keys)})"))
+    new = new.select(F.when(unsound, stop).otherwise(F.col("_row")).alias("_new"), *named)
     old = target.select(F.struct(*target.columns).alias("_old"), *[F.col(k).alias(f"_old_{k}") for k in keys])
     same = [F.col(f"_old_{k}") == F.col(f"_new_{k}") for k in keys]
     row = F.coalesce("_new", "_old")

@@ -31,8 +31,11 @@ def affected_dates(fact: DataFrame, mart: DataFrame) -> DataFrame:
 
 
 def on_dates(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Facts of the given ``report_date`` values; facts without a date never match."""
-    dated = fact.withColumn("report_date", report_date())
+    """Facts of the given ``report_date`` values; facts without a date never match.
+
+    Of a fact partitioned by ``event_date``, Spark reads only the partitions of these dates.
+    """
+    dated = fact.withColumn("report_date", F.col("event_date") if "event_date" in fact.columns else report_date())
     return dated.join(dates.select("report_date"), "report_date", "left_semi").select(*fact.columns)
 
 

@@ -87,7 +87,7 @@ DQ_METRICS = T.StructType(
     ]
 )
 
-# Not in the contract: what an ingest set aside, and which bronze loads each build took.
+# Not in the contract: what an ingest set aside, what became of each file, and what each build took and did.
 QUARANTINE = T.StructType(
     [
         T.StructField("value", T.StringType()),
@@ -108,7 +108,28 @@ FACT_TOTALS = T.StructType(
     ]
 )
 
-CONSUMED = T.StructType([T.StructField("bronze_load", T.StringType())])
+LEDGER = T.StructType(
+    [
+        T.StructField("_file_name", T.StringType()),
+        T.StructField("rows_loaded", T.LongType()),
+        T.StructField("rows_rejected", T.LongType()),
+        T.StructField("_ingested_at", T.TimestampType()),
+    ]
+)
+
+CONSUMED = T.StructType([T.StructField("load", T.StringType())])
+
+TOUCHED = T.StructType([T.StructField("event_date", T.DateType())])
+
+# A build begins, has its silver tables, has its gold tables.
+BUILD_LOG = T.StructType(
+    [
+        T.StructField("phase", T.StringType()),
+        T.StructField("build", T.StringType()),
+        T.StructField("as_of", T.TimestampType()),
+        T.StructField("fact_rows", T.LongType()),
+    ]
+)
 
 CONTRACT = {
     "bronze_raw_events": BRONZE,

@@ -81,6 +81,11 @@ def rejected_rows(
     return rows.filter(_misfit(names).isNotNull()).select(F.col(_CORRUPT).alias("value"), file_name().alias("_file_name"))
 
 
+def file_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``value, _file_name`` of every line of files that can't be read as events."""
+    return spark.read.text(paths).select("value", file_name().alias("_file_name"))
+
+
 def _misfit(names: list[str]) -> Column:
     """The raw text of a row that does not fit, else NULL. Spark refuses to read that column alone, so the first
     column is named as well, in a term that is always NULL."""

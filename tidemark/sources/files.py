@@ -10,9 +10,14 @@ def _resolve(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def glob(spark: SparkSession, pattern: str) -> list[str]:
-    fs, path = _resolve(spark, pattern)
-    return [status.getPath().toString() for status in fs.globStatus(path) or []]
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _resolve(spark, path)
+    return fs.exists(target)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    fs, target = _resolve(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target) if status.isDirectory()]
 
 
 def first_line(spark: SparkSession, path: str) -> str:
@@ -40,11 +45,16 @@ def move_into(spark: SparkSession, paths: list[str], directory: str) -> None:
 
 
 def replace_directory(spark: SparkSession, new: str, old: str) -> None:
-    """Put ``new`` in the place of ``old``."""
+    """Put ``new`` in the place of ``old``, which is kept under a hidden name until ``new`` has its place."""
     fs, source = _resolve(spark, new)
     _, target = _resolve(spark, old)
-    fs.delete(target, True)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.replaced")
+    fs.mkdirs(target.getParent())
+    if fs.exists(target):
+        fs.delete(aside, True)
+        _rename(fs, target, aside)
     _rename(fs, source, target)
+    fs.delete(aside, True)
 
 
 def _rename(fs, source, target) -> None:

@@ -1,124 +1,65 @@
-"""Tables as directories of Parquet loads.
-
-``<root>/generation=<n>/load=<label>/[<partition>=<value>/]part-*.parquet``
-
-Spark's committer writes ``_SUCCESS`` when a load is whole, and readers see only such loads: a job that
-dies half way leaves nothing behind that counts, and its repetition overwrites the same directory. A load
-that is already whole is not written again. ``append`` adds a load to the newest generation, ``replace``
-starts a new one, so that a plan may read the table it rewrites and readers keep the version they opened.
-"""
+"""Tables as folders of Parquet files, laid out in partitions by Spark."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.files import delete, glob
+from tidemark.sources.files import delete, exists, replace_directory, subfolders
 
 
-class LoadTable:
+class Table:
+    """One root folder, by default partitioned by one column, of which a write replaces the partitions it holds."""
+
     def __init__(
         self,
         spark: SparkSession,
         root: str,
+        name: str,
         schema: T.StructType,
         partition: T.StructField | None = None,
-        newest_only: bool = False,
-        rebalance: bool = True,
+        committed: Callable[[], DataFrame] | None = None,
     ):
-        """``newest_only``: of several loads holding one partition value, only the newest counts.
-        ``rebalance=False``: a load has one partition value anyway, so its rows are written where they are."""
+        """``committed`` gives the partition values that count; files of others were left by a job that died."""
         self.spark = spark
-        self.root = root.rstrip("/")
-        self.partition = partition
-        self.newest_only = newest_only
-        self.rebalance = rebalance
-        extra = [partition] if partition is not None and partition.name not in schema.names else []
-        self.schema = T.StructType(schema.fields + extra)
-
-    # -- reading
-
-    def labels(self) -> list[str]:
-        """Labels of the whole loads of the newest generation, oldest first."""
-        return [load for _, load in self._loads()]
-
-    def read(self, labels: list[str] | None = None) -> DataFrame:
-        """The whole table, or only the loads of the given labels."""
-        loads = self._loads()
-        if labels is not None:
-            loads = [(generation, load) for generation, load in loads if load in set(labels)]
-        paths = [self._path(generation, load) for generation, load in loads]
-        if self.newest_only and loads:
-            paths = self._newest_partitions(loads)
-        if not paths:
+        self.path = f"{root}/{name}"
+        self.staged = f"{root}/_staged/{name}"
+        self.partition = partition.name if partition else None
+        self.schema = T.StructType([f for f in schema if f.name != self.partition] + ([partition] if partition else []))
+        self.committed = committed
+
+    def read(self) -> DataFrame:
+        if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.schema)
-        return (
-            self.spark.read.schema(self.schema)
-            .option("basePath", f"{self.root}/generation={loads[0][0]}")
-            .parquet(*paths)
-            .select(*self.schema.names)
-        )
-
-    # -- writing
-
-    def append(self, df: DataFrame, label: str) -> bool:
-        """Add a load; False when it is there already."""
-        loads = self._loads()
-        if label in (load for _, load in loads):
-            return False
-        generation = loads[0][0] if loads else self._next_generation()
-        self._write(df, self._path(generation, label))
-        return True
-
-    def replace(self, df: DataFrame, label: str) -> bool:
-        """Make ``df`` the whole content; False when this label already did."""
-        if self.labels() == [label]:
-            return False
-        self._write(df, self._path(self._next_generation(), label))
-        return True
-
-    def expire(self, keep: int = 2) -> None:
-        """Drop all but the newest ``keep`` generations; readers of an older one lose its files."""
-        for generation in sorted({g for g, _ in self._all_loads()})[:-keep]:
-            delete(self.spark, f"{self.root}/generation={generation}")
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        out = df.select(*self.schema.names)
+        rows = self.spark.read.schema(self.schema).parquet(self.path)
+        return rows if self.committed is None else rows.join(self.committed(), self.partition, "left_semi")
+
+    def partition_path(self, value) -> str:
+        return f"{self.path}/{self.partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+    def write(self, rows: DataFrame, whole: bool = False) -> None:
+        """Replace the partitions that ``rows`` hold, or the whole table; a repetition replaces them again. ``rows`` must
+        not be read from this table."""
+        self._write(rows.select(*self.schema.names), self.path, "static" if whole or not self.partition else "dynamic")
+
+    def rewrite(self, rows: DataFrame) -> None:
+        """Like ``write`` for ``rows`` that are made of this table's own: they are staged first, and ``settle`` puts
+        them in place, also those of a job that died in the middle of it."""
+        self._write(rows.select(*self.schema.names), self.staged, "static")
+        self.settle()
+
+    def settle(self) -> None:
+        if not exists(self.spark, f"{self.staged}/_SUCCESS"):
+            return
         if self.partition is None:
-            out.write.mode("overwrite").option("compression", "zstd").parquet(path)
-        else:
-            # Rows of one partition value meet in few files; AQE splits a value that is too large for one task.
-            if self.rebalance:
-                out = out.hint("rebalance", F.col(self.partition.name))
-            out.write.mode("overwrite").option("compression", "zstd").partitionBy(self.partition.name).parquet(path)
-
-    # -- directories (names only; data never passes the driver)
-
-    def _path(self, generation: str, load: str) -> str:
-        return f"{self.root}/generation={generation}/load={load}"
-
-    def _all_loads(self) -> list[tuple[str, str]]:
-        found = []
-        for path in glob(self.spark, f"{self.root}/generation=*/load=*/_SUCCESS"):
-            generation, load = path.split("/")[-3:-1]
-            found.append((generation.split("=", 1)[1], load.split("=", 1)[1]))
-        return sorted(found)
-
-    def _loads(self) -> list[tuple[str, str]]:
-        found = self._all_loads()
-        return [(g, load) for g, load in found if g == found[-1][0]]
-
-    def _next_generation(self) -> str:
-        found = self._all_loads()
-        return f"{int(found[-1][0]) + 1 if found else 1:08d}"
-
-    def _newest_partitions(self, loads: list[tuple[str, str]]) -> list[str]:
-        generation, whole = loads[0][0], {load for _, load in loads}
-        newest: dict[str, tuple[str, str]] = {}
-        for path in glob(self.spark, f"{self.root}/generation={generation}/load=*/{self.partition.name}=*"):
-            load, value = path.split("/")[-2:]
-            load = load.split("=", 1)[1]
-            if load in whole:
-                newest[value] = max(newest.get(value, ("", "")), (load, path))
-        return [path for _, path in newest.values()]
+            replace_directory(self.spark, self.staged, self.path)
+            return
+        for folder in subfolders(self.spark, self.staged):
+            replace_directory(self.spark, f"{self.staged}/{folder}", f"{self.path}/{folder}")
+        delete(self.spark, self.staged)
+
+    def _write(self, rows: DataFrame, path: str, overwrite: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite).option("compression", "zstd")
+        (writer.partitionBy(self.partition) if self.partition else writer).parquet(path)

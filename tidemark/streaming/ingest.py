@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.clock import use_utc
-from tidemark.operators.ingest import skip_ingested_files, with_lineage
+from tidemark.operators.ingest import skip_ingested_files
 from tidemark.plans.warehouse import Warehouse
-from tidemark.schemas import EVENT
-from tidemark.sources.csv_files import CSV_OPTIONS, file_name
-from tidemark.sources.json_messages import decode_events, malformed_messages
 
 
 def _load_label(batch: DataFrame, batch_id: int) -> str:
@@ -35,40 +32,26 @@ def messages_to_bronze(
 ) -> StreamingQuery:
     """Append the well-formed messages of a stream with a ``value`` column, set the others aside.
 
-    By default reads what is there and ends. Batches are labelled ``stream_<query>_<batch>``.
+    By default reads what is there and ends, in batches as the source limits them (``maxOffsetsPerTrigger``,
+    ``maxFilesPerTrigger``). Batches are labelled ``stream_<query>_<batch>`` and have a row in the warehouse's ledger.
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load = _load_label(batch, batch_id)
-        batch.persist()
-        try:
-            warehouse.append_bronze(with_lineage(decode_events(batch), load, None), load)
-            rejected = with_lineage(malformed_messages(batch), load, None)
-            if not rejected.isEmpty():
-                warehouse.quarantine.append(rejected, load)
-        finally:
-            batch.unpersist()
+        warehouse.append_messages(batch, load)
 
     return _start(messages, load_batch, checkpoint, trigger)
 
 
-def csv_messages(spark: SparkSession, directory: str, archive_dir: str | None = None, **options: str) -> DataFrame:
-    """Stream of the CSV files that land in a directory; processed files move to ``archive_dir``.
+def arriving_files(spark: SparkSession, directory: str, archive_dir: str | None = None, **options: str) -> DataFrame:
+    """Stream of the names (``path, _file_name``) of CSV files that land in a directory; their content is not read.
 
-    Files have the contract's header. ``options`` go to the source, such as ``maxFilesPerTrigger``.
+    Files of finished batches move to ``archive_dir``. ``options`` go to the source, such as ``maxFilesPerTrigger``.
     """
-    reader = (
-        spark.readStream.schema(EVENT)
-        .options(**CSV_OPTIONS)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", "*.csv")
-        .option("fileNameOnly", True)
-    )
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.csv").option("fileNameOnly", True)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    fields = [F.nullif(F.col(c), F.lit("")).alias(c) for c in EVENT.names]
-    reader = reader.options(**options)
-    return reader.csv(directory).select(*fields, file_name().alias("_file_name"))
+    return reader.options(**options).load(directory).select("path", F.substring_index("path", "/", -1).alias("_file_name"))
 
 
 def csv_to_bronze(
@@ -77,13 +60,21 @@ def csv_to_bronze(
     checkpoint: str,
     archive_dir: str | None = None,
     trigger: dict | None = None,
+    on_bad_row: str = "quarantine",
+    on_bad_layout: str = "quarantine",
+    **options: str,
 ) -> StreamingQuery:
-    """Append landing files as they come; files whose name bronze already holds are passed over."""
+    """Append landing files as they come; files whose name the ledger already holds are passed over.
+
+    Each batch goes the way of ``Warehouse.load_files``: by its header's names, rows that do not fit to quarantine, and
+    files without the required columns line by line as well, so that one odd file stops neither the others nor the
+    query. ``options`` go to the source, such as ``maxFilesPerTrigger``; a batch's file names pass the driver.
+    """
     use_utc(warehouse.spark)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        fresh = skip_ingested_files(batch, warehouse.bronze.read())
-        load = _load_label(batch, batch_id)
-        warehouse.append_bronze(with_lineage(fresh, F.col("_file_name"), None), load)
+        fresh = skip_ingested_files(batch, warehouse.ledger.read())
+        paths = [r["path"] for r in fresh.select("path").collect()]
+        warehouse.load_files(paths, None, on_bad_row=on_bad_row, on_bad_layout=on_bad_layout)
 
-    return _start(csv_messages(warehouse.spark, directory, archive_dir), load_batch, checkpoint, trigger)
+    return _start(arriving_files(warehouse.spark, directory, archive_dir, **options), load_batch, checkpoint, trigger)

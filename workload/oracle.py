@@ -384,4 +384,23 @@ ORACLE |= {
         WHERE NOT EXISTS (SELECT 1 FROM fact_1 WHERE fact_1.event_id = fact_2.event_id)""",
     "raw_mart_job": ORACLE["raw_marketing_mart"],
     "stream_to_bronze": f"WITH {_lines(False)} SELECT {LINE_COLUMNS} FROM lines",
+    "stream_rejects": ORACLE["csv_rejects"],
+    "warehouse_refresh_same_time": ORACLE["marketing_report"],
+    "upsert_violations": f"""WITH {_bronze(dirty=True)}, typed AS (SELECT {_TYPED_COLUMNS} FROM bronze)
+        SELECT product_id, count(*) AS row_count FROM typed GROUP BY product_id
+        HAVING count(*) > 1 OR product_id IS NULL""",
+    "ingest_ledger": f"""WITH {_lines(False)}
+        SELECT CASE batch WHEN 1 THEN TIMESTAMP '2024-03-01 00:00:00' ELSE TIMESTAMP '2024-03-02 00:00:00' END AS ingested_at,
+               count(*) FILTER (WHERE eid % 59 <> 0 OR brand IS NULL) AS rows_loaded,
+               count(*) FILTER (WHERE eid % 59 = 0 AND brand IS NOT NULL) AS rows_rejected
+        FROM lines GROUP BY batch""",
+    "stream_ingest_summary": f"""WITH {_lines(False)}
+        SELECT count(*) FILTER (WHERE {_WELL_FORMED}) AS rows_loaded,
+               count(*) FILTER (WHERE NOT ({_WELL_FORMED})) AS rows_rejected,
+               count(*) FILTER (WHERE {_WELL_FORMED}) AS rows_in_bronze,
+               count(*) FILTER (WHERE NOT ({_WELL_FORMED})) AS rows_in_quarantine FROM lines""",
+    "contract_violations": f"""WITH {_bronze()},{_fact("bronze", RUN_2, "fact")}
+        SELECT 'fact_events' AS table_name, column_name, declared, found, (SELECT count(*) FROM fact) AS row_count
+        FROM (VALUES ('price', 'double', 'float'), ('user_session', 'string', NULL), ('campaign', NULL, 'string'))
+             AS drift(column_name, declared, found)""",
 }

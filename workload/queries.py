@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from tidemark.functions import category_level, event_id, known_or_unknown, percent
 from tidemark.operators import quality
+from tidemark.operators.contract import contract_violations
 from tidemark.operators.dimensions import dim_products, dim_users
 from tidemark.operators.facts import fact_events, null_id_rows, typed_events
-from tidemark.operators.incremental import incremental_delta, upsert
+from tidemark.operators.incremental import duplicate_or_null_keys, incremental_delta, upsert
 from tidemark.operators.ingest import ingest_summary, skip_ingested_files, union_batches
 from tidemark.operators.marts import (
     GRAIN,
@@ -34,7 +35,7 @@ from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import EVENT_COLUMNS
 from tidemark.sources.csv_files import read_events, rejected_rows
 from tidemark.sources.json_messages import decode_events, encode_events, malformed_messages
-from tidemark.streaming.ingest import csv_to_bronze
+from tidemark.streaming.ingest import csv_to_bronze, messages_to_bronze
 from workload.bronze_view import (
     INGESTED,
     MEASURED,
@@ -284,8 +285,19 @@ def affected_dates_(spark, sf_dir):
 
 @query("affected_dates_semi")
 def affected_dates_semi(spark, sf_dir):
+    """On a fact in partitions by date, of which Spark reads those of the dates."""
     fact, _, mart = _two_runs(spark, sf_dir)
-    return on_dates(fact, affected_dates(fact, mart))
+    folder = fresh_folder(spark)
+    fact.withColumn("event_date", report_date()).write.partitionBy("event_date").parquet(folder)
+    dated = spark.read.parquet(folder)
+    dates = written(affected_dates(dated, mart)).where("report_date IS NOT NULL")
+    return on_dates(dated, dates).drop("event_date")
+
+
+@query("upsert_violations")
+def upsert_violations(spark, sf_dir):
+    """Keys that a merge refuses, of a dimension that came without deduplication."""
+    return duplicate_or_null_keys(typed_events(bronze(spark, sf_dir, dirty=True)).select("product_id"), ["product_id"])
 
 
 @query("marketing_report_incremental")
@@ -409,6 +421,16 @@ def dup_mart_grain(spark, sf_dir):
     return quality.duplicate_mart_grain(mart.unionByName(mart.filter("brand = '__UNKNOWN__'")))
 
 
+@query("contract_violations")
+def contract_violations_(spark, sf_dir):
+    """A fact whose files drifted: prices are narrow, one column went, one came."""
+    folder = fresh_folder(spark)
+    drifted = _fact(spark, sf_dir).withColumn("price", F.col("price").cast("float")).drop("user_session")
+    dated = drifted.withColumns({"campaign": F.lit("x"), "event_date": report_date()})
+    dated.write.partitionBy("event_date").parquet(folder)
+    return contract_violations(spark, "fact_events", [folder], "event_date")
+
+
 # -- the production path: CSV files, the warehouse's builds, the raw mart job and a file stream
 
 
@@ -444,6 +466,14 @@ def warehouse_full_refresh(spark, sf_dir):
     return warehouse.mart.read()
 
 
+@query("warehouse_refresh_same_time")
+def warehouse_refresh_same_time(spark, sf_dir):
+    """A full refresh at the time of the last build takes all loads again, not that build's alone."""
+    warehouse = _built(spark, sf_dir)
+    warehouse.build(RUN_2, full_refresh=True)
+    return warehouse.mart.read()
+
+
 @query("warehouse_fact")
 def warehouse_fact(spark, sf_dir):
     return _built(spark, sf_dir).fact.read().drop("source_file", "event_date")
@@ -480,3 +510,40 @@ def stream_to_bronze(spark, sf_dir):
     warehouse = Warehouse(spark, fresh_folder(spark))
     csv_to_bronze(warehouse, landing, fresh_folder(spark)).awaitTermination()
     return warehouse.bronze.read().select(*EVENT_COLUMNS)
+
+
+@query("stream_rejects")
+def stream_rejects(spark, sf_dir):
+    """Ragged rows that come over a stream; its limit makes one batch of each file."""
+    warehouse = Warehouse(spark, fresh_folder(spark))
+    landing = _ragged_files(spark, sf_dir)
+    csv_to_bronze(warehouse, landing, fresh_folder(spark), maxFilesPerTrigger="1").awaitTermination()
+    value = F.replace("value", F.lit("\u0000"), F.lit(""))
+    return warehouse.quarantine.read().select(value.alias("value"))
+
+
+@query("ingest_ledger")
+def ingest_ledger(spark, sf_dir):
+    """Totals of the ledger by ingest, after each batch was offered twice."""
+    lines = written(event_lines(spark, sf_dir))
+    warehouse = Warehouse(spark, fresh_folder(spark))
+    for batch in (1, 2):
+        brand = F.when(every(59), F.concat("brand", F.lit(",more"))).otherwise(F.col("brand"))
+        landing = csv_folder(lines.where(F.col("batch") == batch).withColumn("brand", brand), quote=False)
+        for _ in range(2):
+            warehouse.ingest_csv(landing, INGESTED[batch], on_bad_row="quarantine")
+    files = warehouse.ledger.read().groupBy(F.col("_ingested_at").alias("ingested_at"))
+    return files.agg(F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected"))
+
+
+@query("stream_ingest_summary")
+def stream_ingest_summary(spark, sf_dir):
+    """What the ledger says of message batches, which is counted while they are written."""
+    warehouse, topic = Warehouse(spark, fresh_folder(spark)), fresh_folder(spark)
+    _messages(spark, sf_dir).select(F.col("value").cast("string").alias("value")).write.text(topic)
+    stream = spark.readStream.option("maxFilesPerTrigger", "1").text(topic)
+    messages_to_bronze(warehouse, stream, fresh_folder(spark)).awaitTermination()
+    entries = warehouse.ledger.read().agg(F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected"))
+    written_rows = warehouse.bronze.read().agg(F.count(F.lit(1)).alias("rows_in_bronze"))
+    aside = warehouse.quarantine.read().agg(F.count(F.lit(1)).alias("rows_in_quarantine"))
+    return entries.withColumns({"rows_in_bronze": written_rows.scalar(), "rows_in_quarantine": aside.scalar()})
