@@ -35,7 +35,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: power-of-two sequences of what is left."""
     # Executors that have run four stages have less memory left, so tasks remember less.
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cached_chunks=150_000)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cached_chunks=400_000)
 
 
 STAGES = [

@@ -48,7 +48,8 @@ def arriving_files(spark: SparkSession, directory: str, archive_dir: str | None
 
     Files of finished batches move to ``archive_dir``. ``options`` go to the source, such as ``maxFilesPerTrigger``.
     """
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.csv").option("fileNameOnly", True)
+    listed = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(listed).option("pathGlobFilter", "*.csv").option("fileNameOnly", True)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.options(**options).load(directory).select("path", F.substring_index("path", "/", -1).alias("_file_name"))
