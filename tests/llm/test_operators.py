@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -262,6 +263,16 @@ def test_cover_tree_covers():
         assert (gaps <= radius[parent] + 1e-9).all()
 
 
+def test_rules_are_ordered_by_what_they_reject_of_the_rest(spark, monkeypatch):
+    """The second rule rejects much, but only what the first rejects already; rows that fail the base don't count."""
+    texts = [f"{'many ' * (i % 10 > 3)}{'some ' * (i % 10 > 4)}{'few ' * (i % 10 < 2)}" + " ".join(f"w{i}x{j}" for j in range(25)) for i in range(60)]
+    frame = spark.createDataFrame([*enumerate(texts), *[(100 + i, "few") for i in range(300)]], "doc_id long, text string")
+    rules = tuple(quality.Rule(w, f"array_contains(words, '{w}')") for w in ("some", "many", "few"))
+    monkeypatch.setattr(quality, "time", SimpleNamespace(perf_counter=lambda: 0.0))
+    assert [r.name for r in quality.ordered(frame, rules)] == ["many", "few", "some"]
+    assert quality.ordered(frame.limit(0), rules) == list(rules)
+
+
 # ---------------------------------------------------------------- language: clashes and regions
 
 
