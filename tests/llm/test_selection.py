@@ -110,7 +110,7 @@ def test_repeated_and_null_ids_are_documents_of_their_own(frame, item_frame, ite
     assert sorted((r["doc_id"] or 0, r["n_words"], r["n_items"]) for r in got) == [(0, 0, 0), (0, 30, 3), (1, 2, 0), (1, 30, 3)]
 
 
-@pytest.mark.parametrize("span", [2, 4, 7])
+@pytest.mark.parametrize("span", [2, 7])
 def test_proximity(frame, spark, texts, span):
     wanted = [(0, ["w1", "w2"]), (1, ["of", "is", "w5"]), (2, ["the"]), (3, ["the", "of", "the"]), (4, ["absentword", "the"])]
     index = decontamination.PositionalIndex.build(frame(texts))
@@ -149,7 +149,7 @@ def test_crc_of_spans():
     assert more.tolist() == [zlib.crc32(w, int(c)) for w, c in zip(words, crc[::-1], strict=True)]
 
 
-@pytest.mark.parametrize(("percent", "longest", "buckets"), [(10, 1, 10_000), (100, 1, 50), (37, 3, 1000), (1, 2, 10_000)])
+@pytest.mark.parametrize(("percent", "longest", "buckets"), [(10, 1, 10_000), (100, 1, 50), (37, 3, 1000)])
 def test_resampling(frame, item_frame, texts, items, percent, longest, buckets):
     many = texts + [(1000 + i, prose(19 + i % 9, 500 + i // 3)) for i in range(150)]
     got = resampling.resample(frame(many), item_frame(items), percent, longest=longest, buckets=buckets).collect()
@@ -172,7 +172,7 @@ def test_cutoff_at_every_rank(spark):
     rows = [(i, pick.choice([None, *range(9)]), pick.randint(-3, 3)) for i in range(60)]
     scores = spark.createDataFrame(rows, "ref long, doc_id long, score long").repartition(6).cache()
     order = sorted(rows, key=lambda r: (-r[2], r[1] is None, r[1] or 0, r[0]))
-    for rank in (1, 2, 17, 30, 59, 60):
+    for rank in (1, 17, 60):
         won = {r["ref"] for r in scores.where(resampling.cutoff(scores, rank)).collect()}
         assert won == {r[0] for r in order[:rank]}
     ranks = {r["ref"]: r["rank"] for r in resampling.ranked(scores).collect()}
