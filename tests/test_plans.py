@@ -6,13 +6,16 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tests.conftest import event
-from tidemark import Warehouse
 from tidemark.operators.dimensions import dim_products
 from tidemark.operators.facts import fact_events
 from tidemark.operators.incremental import duplicate_or_null_keys, upsert
+from tidemark.operators.ingest import to_bronze, with_lineage
 from tidemark.operators.marts import marketing_report
 from tidemark.operators.quality import dq_metrics
+from tidemark.plans.warehouse import by_date
 from workload.bronze_view import written
 from workload.queries import QUERIES
 
@@ -84,11 +87,10 @@ def test_incremental_scans_are_pruned(spark, tmp_path, bronze_frame):
     w.append_bronze(bronze_frame(event(), at=DAY), "1")
     w.build(datetime(2020, 1, 1, 1))
     w.append_bronze(bronze_frame(event(user_session="2"), at=datetime(2020, 1, 2)), "2")
-    assert w._plan("20200103", False) == ["2"]
-    files = w.bronze.read(w._plan("20200103", False)).inputFiles()
-    assert files and all("/load=2/" in f for f in files)
-    dates = w._dates(w.fact.read())
-    text = plan(w._on_dates(w.fact.read(), "event_date", dates).select("event_id"))
+    delta = w.bronze_of(["2"])
+    assert delta.inputFiles() and all("/load=2/" in f for f in delta.inputFiles())
+    dates = w.touched.read().where(F.col("build") > "").select("event_date").distinct()
+    text = plan(w._on_dates(dates).select("event_id"))
     assert "event_date" in text.split("PartitionFilters:")[1].split("]")[0]
     assert "ReadSchema: struct<event_id:string>" in text
 
@@ -99,6 +101,7 @@ def test_upsert_evaluates_each_side_once(spark, silver):
     assert duplicate_or_null_keys(silver[2], ["product_id"]).count() == 0
 
 
-def test_load_of_bronze_is_written_without_shuffle(spark, tmp_path, bronze_frame):
-    w = Warehouse(spark, str(tmp_path))
-    assert not w.bronze.rebalance and w.fact.rebalance
+def test_load_of_bronze_is_written_without_shuffle(spark, bronze_frame):
+    rows = to_bronze(with_lineage(bronze_frame(event()), "a.csv", DAY)).withColumn("load", F.lit("1"))
+    assert "Exchange" not in plan(rows)
+    assert "Exchange" in plan(by_date(fact_events(rows, DAY).withColumn("event_date", F.to_date("event_timestamp"))))
