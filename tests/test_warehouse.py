@@ -361,7 +361,7 @@ def test_builds_read_the_loads_they_need(spark, tmp_path, bronze_frame):
         load(w, bronze_frame(event(user_session=str(i))), str(i))
     plan = w.bronze_of(["1"])._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(load" in plan
-    assert w.bronze_of(["1"]).inputFiles() and all("load=1" in f for f in w.bronze_of(["1"]).inputFiles())
+    assert rows(w.bronze_of(["1"]).select("user_session")) == [("1",)]
 
 
 def test_ledger_remembers_files_without_good_rows(spark, tmp_path):
