@@ -38,19 +38,25 @@ def event_lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFr
         "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    # What depends on the product alone is made once per product, not per event.
+    code = F.concat_ws(".", F.lower("p_type"), F.replace("p_name", F.lit(" "), F.lit(".")))
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        "p_partkey",
+        F.col("p_size").cast("string").alias("category_id"),
+        F.when(F.col("p_size") % 11 != 0, code).alias("category_code"),
+        F.when(F.col("p_size") % 7 == 0, F.lit("  ")).otherwise(F.col("p_brand")).alias("brand"),
+    )
     people = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_mktsegment")
     wide = events.join(parts, F.col("k") == F.col("p_partkey"), "left").join(
         people, F.col("user_id") == F.col("c_custkey"), "left"
     )
-    code = F.concat_ws(".", F.lower("p_type"), F.replace("p_name", F.lit(" "), F.lit(".")))
     columns = {
         "event_time": F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")),
         "event_type": F.col("event_type"),
         "product_id": F.col("k").cast("string"),
-        "category_id": F.col("p_size").cast("string"),
-        "category_code": F.when(F.col("p_size") % 11 != 0, code),
-        "brand": F.when(F.col("p_size") % 7 == 0, F.lit("  ")).otherwise(F.col("p_brand")),
+        "category_id": F.col("category_id"),
+        "category_code": F.col("category_code"),
+        "brand": F.col("brand"),
         "price": F.when(every(97), F.lit(0.0)).otherwise(F.col("value")).cast("string"),
         "user_id": F.col("user_id").cast("string"),
         "user_session": F.when(~every(101), F.concat(F.lit("s-"), F.col("eid").cast("string"))),
@@ -75,8 +81,11 @@ def event_lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFr
         columns["user_id"] = F.when(every(109), F.lit("3000000000")).otherwise(columns["user_id"])
         columns["event_type"] = F.when(~every(113), F.col("event_type"))
     lines = wide.select("eid", "k", *[value.alias(name) for name, value in columns.items()])
-    delivered = F.array_compact(
-        F.array(F.when(F.col("eid") % 5 != 4, 1), F.when((F.col("eid") % 5 == 4) | every(10), 2))
+    first, second = F.lit(1), F.lit(2)
+    delivered = (
+        F.when(F.col("eid") % 5 == 4, F.array(second))
+        .when(every(10), F.array(first, second))
+        .when(F.col("eid").isNotNull(), F.array(first))
     )
     renamed = (F.col("batch") == 2) & (F.col("k") % 5 == 0)
     return (
