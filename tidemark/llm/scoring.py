@@ -22,20 +22,17 @@ from tidemark.llm.common import (
     spread,
     stored,
     text_buffers,
-    text_or_empty,
-    texts_by_hash,
     tidy,
     word_spans,
 )
 from tidemark.llm.words import WordTokens, with_ends
 
-# The start of training is fitted on the heads of so many texts, so many characters each, so many tokens in all.
-TRAIN_TEXTS, TRAIN_CHARS, TRAIN_TOKENS = 600, 1 << 14, 400_000
-# Then come so many passes over all training texts, at this rate, with so many MB of packed tokens a task.
-ROUNDS, ROUND_RATE, ROUND_MB = 1, 0.1, 16
-# Sums of a pass are whole multiples of this, so that they don't depend on the order in which they come.
+# All training texts are dealt to so many rounds, of at least TRAIN_TEXTS texts each; a round is a step at this rate, with
+# so many MB of packed tokens a task, and keeps this share of what earlier rounds say of an id's topics.
+ROUNDS, TRAIN_TEXTS, ROUND_RATE, ROUND_MB, ROUND_KEEPS = 16, 8, 0.1, 16, 0.5
+# Sums of a round are whole multiples of this, so that they don't depend on the order in which they come.
 UNIT = 2.0**-24
-# No score of attention comes near; what would is held there, so that sums of exponentials stay finite.
+# No score of attention comes near; what would is held there, so that sums of exponentials stay finite and above zero.
 MOST_SCORE = 60.0
 WIDTH, TOPICS = 16, 16
 # A window scores its last STRIDE tokens and sees up to CONTEXT before them.
@@ -52,17 +49,20 @@ GROUP_MB = 64
 END_WORD = np.uint64(0x5851F42D4C957F2D)
 
 
-def _mask(queries: int, keys: int) -> np.ndarray:
-    """What is added to attention scores: the fade with distance, and minus infinity for what lies ahead."""
+def _fade(queries: int, keys: int) -> np.ndarray:
+    """What the exponentials of attention scores are multiplied by: less with distance, nothing for what lies ahead."""
     ahead = np.arange(keys)[None, :] - (np.arange(queries)[:, None] + keys - queries)
-    return np.where(ahead > 0, -np.inf, FADE * ahead).astype(np.float32)
+    return np.where(ahead > 0, 0, np.exp(FADE * ahead)).astype(np.float32)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    np.minimum(x, MOST_SCORE, out=x)
-    np.exp(x, out=x)
-    x /= np.einsum("...k->...", x)[..., None]
-    return x
+def _exp(x: np.ndarray) -> np.ndarray:
+    """Exponentials in place, of scores held between bounds."""
+    np.clip(x, -MOST_SCORE, MOST_SCORE, out=x)
+    return np.exp(x, out=x)
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    return np.einsum("...k->...", x)[..., None]
 
 
 # What steps of the gradient change; WIDTH and TOPICS are equal, so all but the embedding have one shape.
@@ -89,9 +89,9 @@ class Attention:
         self._tables()
 
     def _tables(self) -> None:
-        """Queries, keys, values and gates of every id; positions differ only by the mask."""
-        self.queries, self.keys = self.embed @ self.query, self.embed @ self.key
-        self.values, self.gates = self.embed @ self.value, self.embed @ self.gate
+        """Keys and values, queries and gates of every id, side by side; positions differ only by the fade."""
+        self.seen_as = self.embed @ np.concatenate([self.key, self.value], 1)
+        self.asks = self.embed @ np.concatenate([self.query, self.gate], 1)
 
     def windows(self, texts: Sequence[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Batches of (inputs, targets, scored, text number); each token of each text is scored in one window.
@@ -117,22 +117,25 @@ class Attention:
                 seen = at[:, None] + np.arange(STRIDE - width, STRIDE)
                 yield inputs[np.minimum(seen, len(inputs) - 1)], targets[np.minimum(place, len(targets) - 1)], scored, text[w]
 
-    def shares(self, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Attention and topic shares of the last STRIDE positions of each window, and the queries, keys and values
-        they are made of."""
-        last = inputs[:, -STRIDE:]
-        queries, keys, values = self.queries[last], self.keys[inputs], self.values[inputs]
-        scores = np.matmul(queries, keys.transpose(0, 2, 1))
-        scores += _mask(STRIDE, inputs.shape[1])
-        attention = _softmax(scores)
-        return attention, _softmax(self.gates[last] + np.matmul(attention, values)), queries, keys, values
+    def shares(self, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Topic shares of the last STRIDE positions of each window, and what they are made of: exponentials of attention
+        scores and what divides them, what attention gathers, queries, keys and values."""
+        seen, asks = self.seen_as.take(inputs, 0), self.asks.take(inputs[:, -STRIDE:], 0)
+        queries, keys, values = asks[..., :WIDTH], seen[..., :WIDTH], seen[..., WIDTH:]
+        attention = _exp(np.matmul(queries, keys.transpose(0, 2, 1)))
+        attention *= _fade(STRIDE, inputs.shape[1])
+        per = 1 / _sums(attention)
+        gathered = np.matmul(attention, values)
+        gathered *= per
+        shares = _exp(asks[..., WIDTH:] + gathered)
+        shares /= _sums(shares)
+        return shares, attention, per, gathered, queries, keys, values
 
     def score(self, texts: Sequence[np.ndarray]) -> np.ndarray:
         """The log10 probability of each text, its end included."""
         out = np.zeros(len(texts))
         for inputs, targets, scored, text in self.windows(texts):
-            shares = self.shares(inputs)[1]
-            p = np.einsum("bqk,bqk->bq", shares, self.topics[targets])
+            p = np.einsum("bqk,bqk->bq", self.shares(inputs)[0], self.topics.take(targets, 0))
             out += np.bincount(text, np.where(scored, np.log10(p), 0).sum(1, dtype=np.float64), len(texts))
         return out
 
@@ -170,27 +173,31 @@ class Attention:
     def gradients(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> tuple:
         """Of one batch: summed gradients of the matrices by name, then ids and their responsibilities, then ids and
         their gradients of the embedding."""
-        attention, shares, queries, keys, values = self.shares(inputs)
-        joint = shares * self.topics[targets]
-        blame = joint * (scored / np.einsum("bqk->bq", joint)).astype(np.float32)[..., None]
-        up = (shares * scored[..., None] - blame).astype(np.float32)
-        x = self.embed[inputs]
-        q = x[:, -STRIDE:]
-        to_attention = np.matmul(up, values.transpose(0, 2, 1))
-        to_attention -= np.einsum("bqk,bqk->bq", attention, to_attention)[..., None]
-        to_scores = np.multiply(attention, to_attention, out=to_attention)
-        to_values = np.matmul(attention.transpose(0, 2, 1), up)
-        to_queries = np.matmul(to_scores, keys)
-        to_keys = np.matmul(to_scores.transpose(0, 2, 1), queries)
+        shares, attention, per, gathered, queries, keys, values = self.shares(inputs)
+        blame = shares * self.topics.take(targets, 0)
+        blame *= (scored / np.einsum("bqk->bq", blame)).astype(np.float32)[..., None]
+        up = shares * scored[..., None]
+        up -= blame
+        divided = up * per
+        to_scores = np.matmul(divided, values.transpose(0, 2, 1))
+        to_scores -= np.einsum("bqk,bqk->bq", gathered, divided)[..., None]
+        to_scores *= attention
         flat = lambda a: a.reshape(-1, a.shape[-1])
+        of_last = flat(np.concatenate([np.matmul(to_scores, keys), up], 2))
+        of_all = flat(
+            np.concatenate([np.matmul(to_scores.transpose(0, 2, 1), queries), np.matmul(attention.transpose(0, 2, 1), divided)], 2)
+        )
+        x = self.embed.take(inputs, 0)
+        query_gate = flat(np.ascontiguousarray(x[:, -STRIDE:])).T @ of_last
+        key_value = flat(x).T @ of_all
         grads = {
-            "query": flat(q).T @ flat(to_queries),
-            "key": flat(x).T @ flat(to_keys),
-            "value": flat(x).T @ flat(to_values),
-            "gate": flat(q).T @ flat(up),
+            "query": query_gate[:, :WIDTH],
+            "key": key_value[:, :WIDTH],
+            "value": key_value[:, WIDTH:],
+            "gate": query_gate[:, WIDTH:],
         }
-        of_x = to_keys @ self.key.T + to_values @ self.value.T
-        of_x[:, -STRIDE:] += to_queries @ self.query.T + up @ self.gate.T
+        of_x = (of_all @ np.concatenate([self.key, self.value], 1).T).reshape(x.shape)
+        of_x[:, -STRIDE:] += (of_last @ np.concatenate([self.query, self.gate], 1).T).reshape(up.shape)
         return grads, targets.ravel(), flat(blame), inputs.ravel(), flat(of_x)
 
     def _add_rows(self, total: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
@@ -212,37 +219,66 @@ class Attention:
             fix = np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
             getattr(self, n)[...] -= rate * fix * m / (np.sqrt(v) + 1e-8)
 
-    def sums(self, texts: Sequence[np.ndarray]) -> np.ndarray:
-        """What a pass learns from texts, in multiples of UNIT: a row of responsibilities and gradients for each id,
-        and behind them the gradients of the matrices."""
-        seen, embed = np.zeros((self.size, TOPICS)), np.zeros((self.size, WIDTH))
+    def sums(self, texts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """What a round learns from texts: numbers of rows, and the rows in multiples of UNIT. The row of an id is its
+        responsibilities and gradients; behind all ids stand the gradients of the matrices."""
+        held = np.zeros(self.size, bool)
+        # Windows begin with an end and are filled up with id 0.
+        held[[0, self.end]] = True
+        for text in texts:
+            held[text] = True
+        ids, place = np.flatnonzero(held), np.cumsum(held) - 1
+        seen, embed = np.zeros((len(ids), TOPICS)), np.zeros((len(ids), WIDTH))
         small = np.zeros((len(_LEARNT) - 1, WIDTH * TOPICS))
         for inputs, targets, scored, _ in self.windows(texts):
             grads, of_targets, blame, of_inputs, rows = self.gradients(inputs, targets, scored)
             for i, n in enumerate(_LEARNT[1:]):
                 small[i] += grads[n].ravel()
-            self._add_rows(seen, of_targets, blame)
-            self._add_rows(embed, of_inputs, rows)
-        total = np.concatenate([seen, embed], 1)
-        return np.rint(np.concatenate([total, small.reshape(-1, TOPICS + WIDTH)]) / UNIT).astype(np.int64)
+            seen += _rows_by_id(place[of_targets], blame, len(ids))
+            embed += _rows_by_id(place[of_inputs], rows, len(ids))
+        small = small.reshape(-1, TOPICS + WIDTH)
+        total = np.concatenate([np.concatenate([seen, embed], 1), small])
+        return np.append(ids, self.size + np.arange(len(small))), np.rint(total / UNIT).astype(np.int64)
+
+    def begin(self, counts: np.ndarray) -> None:
+        """Before the first round: the ids' ``counts`` in all training texts, dealt to topics at random."""
+        random = np.random.default_rng(11)
+        self.moments = {n: (np.zeros_like(getattr(self, n)), np.zeros_like(getattr(self, n))) for n in _LEARNT}
+        self.steps = 0
+        self.seen = counts[:, None] * random.dirichlet(np.ones(TOPICS) * 0.5, self.size) * (0.2 / ROUNDS)
+        self.mix(counts)
 
     def advance(self, sums: np.ndarray, counts: np.ndarray, rate: float = ROUND_RATE) -> None:
-        """Topics anew from the responsibilities of a pass over all texts, the rest one step on."""
+        """Topics by the responsibilities of the rounds so far, the rest one step on by those of the last."""
         sums = sums * UNIT
-        self.seen, embed, small = sums[: self.size, :TOPICS], sums[: self.size, TOPICS:], sums[self.size :]
+        seen, embed, small = sums[: self.size, :TOPICS], sums[: self.size, TOPICS:], sums[self.size :]
         small = small.reshape(len(_LEARNT) - 1, WIDTH, TOPICS)
-        self._step({"embed": embed, **dict(zip(_LEARNT[1:], small, strict=True))}, max(1.0, self.seen.sum()), rate)
+        self.seen = ROUND_KEEPS * self.seen + seen
+        self._step({"embed": embed, **dict(zip(_LEARNT[1:], small, strict=True))}, max(1.0, seen.sum()), rate)
         self.mix(counts)
 
     def mix(self, counts: np.ndarray) -> None:
-        """Topics from the last responsibilities over the floor of ``counts``."""
-        held = self._floor(counts) + self.seen
+        """Topics hold each id as often as all training texts do; responsibilities tell which topic how much of it."""
+        total = self.seen.sum(1, keepdims=True)
+        shares = np.divide(self.seen, total, out=np.full_like(self.seen, 1 / TOPICS), where=total > 0)
+        held = self._floor(counts) + counts[:, None] * shares
         self.topics = (held / held.sum(0)).astype(np.float32)
         self._tables()
 
     def __getstate__(self) -> dict:
-        """Tasks need no state of the training."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("moments", "seen")}
+        """Tasks need no state of the training, and make the tables of ids themselves."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("moments", "seen", "seen_as", "asks")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._tables()
+
+
+def _rows_by_id(ids: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """The sums of the rows of each id below ``size``."""
+    width = rows.shape[1]
+    cells = (ids[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(cells, rows.ravel(), size * width).reshape(size, width)
 
 
 def held_out(key) -> bool:
@@ -250,25 +286,14 @@ def held_out(key) -> bool:
     return zlib.crc32(b"" if key is None else str(key).encode()) % FOLDS == HELD_OUT
 
 
-def train(prepared: DataFrame, docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> Attention:
-    """The attention model, fitted on all training documents, whole, however long they are.
+def train(prepared: DataFrame, tokenizer: str) -> Attention:
+    """The attention model, learnt from all training documents, whole, however long they are.
 
-    The heads of a few texts (by hash of id and text) only give it a start. Passes over the tokens of all training
-    documents, as ``prepare`` wrote them, sum token counts, topic responsibilities and gradients in Spark. What comes
-    to the driver has the size of the vocabulary.
+    Tokens of all training documents, as ``prepare`` wrote them, are counted in Spark. Then each document is in one of
+    the rounds, dealt by its place in its slice; a round sums topic responsibilities and gradients in Spark. What comes to
+    the driver has the size of the vocabulary.
     """
-    import pyarrow as pa
-
-    fold = F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
-    heads = docs.where(fold != HELD_OUT).select(F.col(key).alias("k"), text_or_empty(text).alias("t"))
-    heads = heads.where("t <> ''").select("k", F.substring("t", 1, TRAIN_CHARS).alias("t"))
-    picked = texts_by_hash(heads, "t", TRAIN_TEXTS, "k", "t")
-    tokens = WordTokens(tokenizer)
-    model = Attention(tokens.library.get_vocab_size())
-    ids, borders = with_ends(*tokens.encode(pa.array(picked, pa.string())), model.end)
-    texts = np.split(ids.astype(np.int64), borders[1:-1])
-    within = np.searchsorted(borders, TRAIN_TOKENS) if picked else 0
-    model.fit(texts[:within])
+    model = Attention(WordTokens(tokenizer).library.get_vocab_size())
     size = model.size
 
     def count(batches: Iterator) -> Iterator:
@@ -285,25 +310,30 @@ def train(prepared: DataFrame, docs: DataFrame, tokenizer: str, key: str = "doc_
     kept = prepared.where("part < 0").select("ids")
     kept = kept.coalesce(spread(kept, ROUND_MB, F.octet_length("ids")))
     counts = _summed(kept, count, 1, size)[:, 0]
-    model.mix(counts)
-    for _ in range(ROUNDS if counts.any() else 0):
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-
-        def learn(batches: Iterator, shared=shared) -> Iterator:
+    model.begin(counts)
+    rows = size + (len(_LEARNT) - 1) * WIDTH * TOPICS // (TOPICS + WIDTH)
+    # Each text has one end.
+    rounds = min(ROUNDS, max(1, int(counts[model.end]) // TRAIN_TEXTS)) if counts.any() else 0
+    for number in range(rounds):
+        shared = prepared.sparkSession.sparkContext.broadcast(model)
+
+        def learn(batches: Iterator, shared=shared, number=number) -> Iterator:
             import pyarrow as pa
 
-            sums = 0
+            total = np.zeros((rows, TOPICS + WIDTH), np.int64)
             for batch in batches:
                 for blob in batch.column(0).to_pylist():
-                    sums += shared.value.sums(_training_texts(blob))
-            if np.ndim(sums):
-                at = np.flatnonzero(sums.any(1))
-                columns = [pa.array(at), *[pa.array(c) for c in sums[at].T]]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", *[f"c{i}" for i in range(sums.shape[1])]])
+                    texts = _training_texts(blob, number, rounds)
+                    if texts:
+                        at, sums = shared.value.sums(texts)
+                        total[at] += sums
+            at = np.flatnonzero(total.any(1))
+            columns = [pa.array(at), *[pa.array(c) for c in total[at].T]]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", *[f"c{i}" for i in range(total.shape[1])]])
 
-        rows = size + (len(_LEARNT) - 1) * WIDTH * TOPICS // (TOPICS + WIDTH)
         model.advance(_summed(kept, learn, TOPICS + WIDTH, rows), counts)
-        shared.unpersist()
+        # Also its file on the driver goes.
+        shared.destroy()
     return model
 
 
@@ -332,9 +362,10 @@ def _texts(blob: bytes) -> tuple[list[np.ndarray], np.ndarray]:
     return np.split(ids.astype(np.int64), borders[1:-1]), out
 
 
-def _training_texts(blob: bytes) -> list[np.ndarray]:
-    texts, out = _texts(blob)
-    return [t for t, kept in zip(texts, ~out, strict=True) if kept]
+def _training_texts(blob: bytes, first: int = 0, step: int = 1) -> list[np.ndarray]:
+    """The ids of every ``step``-th training text of a slice, from the ``first`` on."""
+    ids, borders, out = _arrays(blob)
+    return [ids[borders[i] : borders[i + 1]].astype(np.int64) for i in np.flatnonzero(~out)[first::step].tolist()]
 
 
 def _summed(kept: DataFrame, run, width: int, rows: int) -> np.ndarray:
@@ -438,7 +469,7 @@ def score(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     """
     groups = spread(docs.select(F.col(text).cast("string").alias("text")), GROUP_MB, F.octet_length("text"))
     prepared = prepare(docs, tokenizer, groups, key, text)
-    shared = docs.sparkSession.sparkContext.broadcast(train(prepared, docs, tokenizer, key, text))
+    shared = docs.sparkSession.sparkContext.broadcast(train(prepared, tokenizer))
 
     def meet(group):
         import pandas as pd
