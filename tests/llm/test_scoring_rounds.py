@@ -39,3 +39,23 @@ def test_scores_of_attention_that_are_all_low_stay_finite():
     model._tables()
     assert np.isfinite(model.score([np.arange(64) % 30])).all()
     assert all(np.isfinite(rows).all() for rows in model.sums([np.arange(64) % 30]))
+
+
+def test_rows_are_summed_by_id_for_many_batches_at_a_time(monkeypatch):
+    """The sums do not depend on how many batches wait, and the table of sums is gone through once for all that do."""
+    random = np.random.default_rng(1)
+    batches = [(random.integers(0, 50, 96), random.normal(size=(96, 4)).astype(np.float32)) for _ in range(20)]
+    expected = np.zeros((50, 4))
+    for ids, rows in batches:
+        np.add.at(expected, ids, rows.astype(np.float64))
+    counted = []
+    bincount = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a: (counted.append(1), bincount(*a))[1])
+    for wait, times in ((1, 20), (96 * 5, 4), (1 << 20, 1)):
+        monkeypatch.setattr(scoring, "SUM_ROWS", wait)
+        counted.clear()
+        sums = scoring._RowSums(50, 4)
+        for ids, rows in batches:
+            sums.add(ids, rows)
+        assert np.allclose(sums.total(), expected)
+        assert len(counted) == times

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,6 +39,8 @@ WIDTH, TOPICS = 16, 16
 # A window scores its last STRIDE tokens and sees up to CONTEXT before them.
 STRIDE, CONTEXT = 32, 16
 EPOCHS, BATCH, RATE = 3, 96, 0.02
+# Gradients of so many positions are summed by id at a time.
+SUM_ROWS = 1 << 13
 # Scores of attention fall by so much for each token of distance.
 FADE = 0.1
 HELD_OUT = 2
@@ -49,6 +52,7 @@ GROUP_MB = 64
 END_WORD = np.uint64(0x5851F42D4C957F2D)
 
 
+@lru_cache
 def _fade(queries: int, keys: int) -> np.ndarray:
     """What the exponentials of attention scores are multiplied by: less with distance, nothing for what lies ahead."""
     ahead = np.arange(keys)[None, :] - (np.arange(queries)[:, None] + keys - queries)
@@ -174,19 +178,24 @@ class Attention:
         """Of one batch: summed gradients of the matrices by name, then ids and their responsibilities, then ids and
         their gradients of the embedding."""
         shares, attention, per, gathered, queries, keys, values = self.shares(inputs)
+        width, unscored = inputs.shape[1], ~scored
+        # Behind queries' and keys' gradients stand those of gates and values.
+        of_last = np.empty((len(inputs), STRIDE, WIDTH + TOPICS), np.float32)
+        of_all = np.empty((len(inputs), width, WIDTH + TOPICS), np.float32)
         blame = shares * self.topics.take(targets, 0)
         blame *= (scored / np.einsum("bqk->bq", blame)).astype(np.float32)[..., None]
-        up = shares * scored[..., None]
-        up -= blame
+        up = of_last[..., WIDTH:]
+        np.subtract(shares, blame, out=up)
+        up[unscored] = 0
         divided = up * per
         to_scores = np.matmul(divided, values.transpose(0, 2, 1))
         to_scores -= np.einsum("bqk,bqk->bq", gathered, divided)[..., None]
         to_scores *= attention
         flat = lambda a: a.reshape(-1, a.shape[-1])
-        of_last = flat(np.concatenate([np.matmul(to_scores, keys), up], 2))
-        of_all = flat(
-            np.concatenate([np.matmul(to_scores.transpose(0, 2, 1), queries), np.matmul(attention.transpose(0, 2, 1), divided)], 2)
-        )
+        np.matmul(to_scores, keys, out=of_last[..., :WIDTH])
+        np.matmul(to_scores.transpose(0, 2, 1), queries, out=of_all[..., :WIDTH])
+        np.matmul(attention.transpose(0, 2, 1), divided, out=of_all[..., WIDTH:])
+        of_last, of_all = flat(of_last), flat(of_all)
         x = self.embed.take(inputs, 0)
         query_gate = flat(np.ascontiguousarray(x[:, -STRIDE:])).T @ of_last
         key_value = flat(x).T @ of_all
@@ -197,7 +206,7 @@ class Attention:
             "gate": query_gate[:, WIDTH:],
         }
         of_x = (of_all @ np.concatenate([self.key, self.value], 1).T).reshape(x.shape)
-        of_x[:, -STRIDE:] += (of_last @ np.concatenate([self.query, self.gate], 1).T).reshape(up.shape)
+        of_x[:, -STRIDE:] += (of_last @ np.concatenate([self.query, self.gate], 1).T).reshape(shares.shape)
         return grads, targets.ravel(), flat(blame), inputs.ravel(), flat(of_x)
 
     def _add_rows(self, total: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
@@ -228,16 +237,16 @@ class Attention:
         for text in texts:
             held[text] = True
         ids, place = np.flatnonzero(held), np.cumsum(held) - 1
-        seen, embed = np.zeros((len(ids), TOPICS)), np.zeros((len(ids), WIDTH))
+        seen, embed = _RowSums(len(ids), TOPICS), _RowSums(len(ids), WIDTH)
         small = np.zeros((len(_LEARNT) - 1, WIDTH * TOPICS))
         for inputs, targets, scored, _ in self.windows(texts):
             grads, of_targets, blame, of_inputs, rows = self.gradients(inputs, targets, scored)
             for i, n in enumerate(_LEARNT[1:]):
                 small[i] += grads[n].ravel()
-            seen += _rows_by_id(place[of_targets], blame, len(ids))
-            embed += _rows_by_id(place[of_inputs], rows, len(ids))
+            seen.add(place[of_targets], blame)
+            embed.add(place[of_inputs], rows)
         small = small.reshape(-1, TOPICS + WIDTH)
-        total = np.concatenate([np.concatenate([seen, embed], 1), small])
+        total = np.concatenate([np.concatenate([seen.total(), embed.total()], 1), small])
         return np.append(ids, self.size + np.arange(len(small))), np.rint(total / UNIT).astype(np.int64)
 
     def begin(self, counts: np.ndarray) -> None:
@@ -274,11 +283,28 @@ class Attention:
         self._tables()
 
 
-def _rows_by_id(ids: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """The sums of the rows of each id below ``size``."""
-    width = rows.shape[1]
-    cells = (ids[:, None] * width + np.arange(width)).ravel()
-    return np.bincount(cells, rows.ravel(), size * width).reshape(size, width)
+class _RowSums:
+    """The sums of the rows of each id below ``size``. Rows wait until there are SUM_ROWS, so that the table of sums is
+    gone through once for many batches."""
+
+    def __init__(self, size: int, width: int):
+        self.sums = np.zeros((size, width))
+        self.ids, self.rows, self.waiting = [], [], 0
+
+    def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.rows.append(rows)
+        self.waiting += len(ids)
+        if self.waiting >= SUM_ROWS:
+            self.total()
+
+    def total(self) -> np.ndarray:
+        if self.waiting:
+            size, width = self.sums.shape
+            cells = np.concatenate(self.ids)[:, None] * width + np.arange(width)
+            self.sums += np.bincount(cells.ravel(), np.concatenate(self.rows).ravel(), size * width).reshape(size, width)
+            self.ids, self.rows, self.waiting = [], [], 0
+        return self.sums
 
 
 def held_out(key) -> bool:
