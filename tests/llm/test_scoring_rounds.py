@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 
 from tidemark.llm import scoring
+from tidemark.llm.words import WordTokens
 
 
 def test_each_training_text_is_in_one_round():
@@ -59,3 +62,30 @@ def test_rows_are_summed_by_id_for_many_batches_at_a_time(monkeypatch):
             sums.add(ids, rows)
         assert np.allclose(sums.total(), expected)
         assert len(counted) == times
+
+
+def test_spellings_are_encoded_once_and_as_whole_texts_are():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["The cat, the CAT and the Cat " * 50, "", None, " \n", "<|endoftext|> <|ENDOFTEXT|> É é CAN'T can't " * 20, "日本 Ab日本"]
+    plain, tokens = WordTokens(path), WordTokens(path)
+    end = plain.library.get_vocab_size()
+    given, encode = [], tokens.encode
+    tokens.encode = lambda column: (given.extend(column.to_pylist()), encode(column))[1]
+    counts, word, of, ids, borders = scoring.read_words(tokens, pa.array(texts), end)
+    assert sorted(given) == sorted({w for t in texts for w in (t or "").split()})
+    expected, at = plain.encode(pa.array(texts))
+    found = [t.tolist() for t in np.split(ids, borders[1:-1])]
+    assert found == [[*expected[a:b].tolist(), end] for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert counts.tolist() == [len((t or "").split()) for t in texts]
+    lowered = [w.translate({c: c + 32 for c in range(65, 91)}) for t in texts for w in (t or "").split()]
+    assert len(word) == len(set(lowered)) == len({*zip(lowered, of.tolist(), strict=True)})
+    assert (np.diff(word.astype(object)) > 0).all()
+
+
+def test_pieces_and_work_arrays_are_kept():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert scoring._tokens(path) is scoring._tokens(path)
+    model = scoring.Attention(30)
+    batch = np.arange(96 * 48).reshape(96, 48) % 30
+    first, second = (model.shares(batch)[1] for _ in range(2))
+    assert first is second or np.shares_memory(first, second)

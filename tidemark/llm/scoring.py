@@ -26,11 +26,11 @@ from tidemark.llm.common import (
     tidy,
     word_spans,
 )
-from tidemark.llm.words import WordTokens, with_ends
+from tidemark.llm.words import WordTokens, ranges, with_ends
 
 # All training texts are dealt to so many rounds, of at least TRAIN_TEXTS texts each; a round is a step at this rate, with
-# so many MB of packed tokens a task, and keeps this share of what earlier rounds say of an id's topics.
-ROUNDS, TRAIN_TEXTS, ROUND_RATE, ROUND_MB, ROUND_KEEPS = 16, 8, 0.1, 16, 0.5
+# so many MB of packed tokens a task (less where cores would be idle), and keeps this share of what earlier rounds say of an id's topics.
+ROUNDS, TRAIN_TEXTS, ROUND_RATE, ROUND_MB, ROUND_KEEPS = 16, 8, 0.1, 72, 0.5
 # Sums of a round are whole multiples of this, so that they don't depend on the order in which they come.
 UNIT = 2.0**-24
 # No score of attention comes near; what would is held there, so that sums of exponentials stay finite and above zero.
@@ -47,6 +47,8 @@ HELD_OUT = 2
 FOLDS = 7
 SLICE_BYTES = 4 << 20
 ENCODE_BYTES = 1 << 20
+# Pieces of words whose ids a worker process remembers from task to task, at about 40 bytes each.
+KNOWN_PIECES = 1_000_000
 GROUP_MB = 64
 # Stands for the end of a text among the word hashes.
 END_WORD = np.uint64(0x5851F42D4C957F2D)
@@ -59,9 +61,10 @@ def _fade(queries: int, keys: int) -> np.ndarray:
     return np.where(ahead > 0, 0, np.exp(FADE * ahead)).astype(np.float32)
 
 
-def _exp(x: np.ndarray) -> np.ndarray:
-    """Exponentials in place, of scores held between bounds."""
-    np.clip(x, -MOST_SCORE, MOST_SCORE, out=x)
+def _exp(x: np.ndarray, low: bool = False) -> np.ndarray:
+    """Exponentials in place, of scores held between bounds unless all are known to be ``low``."""
+    if not low:
+        np.clip(x, -MOST_SCORE, MOST_SCORE, out=x)
     return np.exp(x, out=x)
 
 
@@ -96,6 +99,17 @@ class Attention:
         """Keys and values, queries and gates of every id, side by side; positions differ only by the fade."""
         self.seen_as = self.embed @ np.concatenate([self.key, self.value], 1)
         self.asks = self.embed @ np.concatenate([self.query, self.gate], 1)
+        # What scores of attention and of topics can't exceed: products of lengths, and sums, as values gathered are means.
+        asked, seen = (np.sqrt(np.einsum("ik,ik->i", t, t).max()) for t in (self.asks[:, :WIDTH], self.seen_as[:, :WIDTH]))
+        gates, values = (np.abs(t[:, WIDTH:]).max() for t in (self.asks, self.seen_as))
+        self.low = bool(max(asked * seen, gates + values) < MOST_SCORE)
+        self.rooms: dict[str, np.ndarray] = {}
+
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """An array that the next batch overwrites: memory that lies in the cache is not asked for anew."""
+        if name not in self.rooms or self.rooms[name].shape[1:] != shape[1:] or len(self.rooms[name]) < shape[0]:
+            self.rooms[name] = np.empty(shape, np.float32)
+        return self.rooms[name][: shape[0]]
 
     def windows(self, texts: Sequence[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Batches of (inputs, targets, scored, text number); each token of each text is scored in one window.
@@ -110,28 +124,29 @@ class Attention:
         blocks = -(-size // STRIDE)
         text = np.repeat(np.arange(len(texts)), blocks)
         number = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        at, left = start[text] + number * STRIDE, size[text] - number * STRIDE
+        to_score = np.lib.stride_tricks.sliding_window_view(targets, STRIDE)
         for first in (True, False):
             mine = np.flatnonzero((number == 0) == first)
-            width = STRIDE if first else STRIDE + CONTEXT
+            before = 0 if first else CONTEXT
             for a in range(0, len(mine), BATCH):
                 w = mine[a : a + BATCH]
-                at = start[text[w]] + number[w] * STRIDE
-                place = at[:, None] + np.arange(STRIDE)
-                scored = number[w, None] * STRIDE + np.arange(STRIDE) < size[text[w], None]
-                seen = at[:, None] + np.arange(STRIDE - width, STRIDE)
-                yield inputs[np.minimum(seen, len(inputs) - 1)], targets[np.minimum(place, len(targets) - 1)], scored, text[w]
+                to_see = np.lib.stride_tricks.sliding_window_view(inputs, before + STRIDE)
+                yield to_see[at[w] - before], to_score[at[w]], np.arange(STRIDE) < left[w, None], text[w]
 
     def shares(self, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
         """Topic shares of the last STRIDE positions of each window, and what they are made of: exponentials of attention
-        scores and what divides them, what attention gathers, queries, keys and values."""
-        seen, asks = self.seen_as.take(inputs, 0), self.asks.take(inputs[:, -STRIDE:], 0)
+        scores and what divides them, what attention gathers, queries, keys and values. Some hold until the next batch."""
+        n, width = inputs.shape
+        seen = self.seen_as.take(inputs, 0, self._room("seen", n, width, WIDTH + TOPICS), "clip")
+        asks = self.asks.take(inputs[:, -STRIDE:], 0, self._room("asks", n, STRIDE, WIDTH + TOPICS), "clip")
         queries, keys, values = asks[..., :WIDTH], seen[..., :WIDTH], seen[..., WIDTH:]
-        attention = _exp(np.matmul(queries, keys.transpose(0, 2, 1)))
+        attention = _exp(np.matmul(queries, keys.transpose(0, 2, 1), out=self._room("attention", n, STRIDE, width)), self.low)
         attention *= _fade(STRIDE, inputs.shape[1])
         per = 1 / _sums(attention)
         gathered = np.matmul(attention, values)
         gathered *= per
-        shares = _exp(asks[..., WIDTH:] + gathered)
+        shares = _exp(asks[..., WIDTH:] + gathered, self.low)
         shares /= _sums(shares)
         return shares, attention, per, gathered, queries, keys, values
 
@@ -180,15 +195,15 @@ class Attention:
         shares, attention, per, gathered, queries, keys, values = self.shares(inputs)
         width, unscored = inputs.shape[1], ~scored
         # Behind queries' and keys' gradients stand those of gates and values.
-        of_last = np.empty((len(inputs), STRIDE, WIDTH + TOPICS), np.float32)
-        of_all = np.empty((len(inputs), width, WIDTH + TOPICS), np.float32)
+        of_last = self._room("of_last", len(inputs), STRIDE, WIDTH + TOPICS)
+        of_all = self._room("of_all", len(inputs), width, WIDTH + TOPICS)
         blame = shares * self.topics.take(targets, 0)
         blame *= (scored / np.einsum("bqk->bq", blame)).astype(np.float32)[..., None]
         up = of_last[..., WIDTH:]
         np.subtract(shares, blame, out=up)
         up[unscored] = 0
         divided = up * per
-        to_scores = np.matmul(divided, values.transpose(0, 2, 1))
+        to_scores = np.matmul(divided, values.transpose(0, 2, 1), out=self._room("to_scores", len(inputs), STRIDE, width))
         to_scores -= np.einsum("bqk,bqk->bq", gathered, divided)[..., None]
         to_scores *= attention
         flat = lambda a: a.reshape(-1, a.shape[-1])
@@ -196,7 +211,7 @@ class Attention:
         np.matmul(to_scores.transpose(0, 2, 1), queries, out=of_all[..., :WIDTH])
         np.matmul(attention.transpose(0, 2, 1), divided, out=of_all[..., WIDTH:])
         of_last, of_all = flat(of_last), flat(of_all)
-        x = self.embed.take(inputs, 0)
+        x = self.embed.take(inputs, 0, self._room("x", len(inputs), width, WIDTH), "clip")
         query_gate = flat(np.ascontiguousarray(x[:, -STRIDE:])).T @ of_last
         key_value = flat(x).T @ of_all
         grads = {
@@ -276,7 +291,7 @@ class Attention:
 
     def __getstate__(self) -> dict:
         """Tasks need no state of the training, and make the tables of ids themselves."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("moments", "seen", "seen_as", "asks")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("moments", "seen", "seen_as", "asks", "low", "rooms")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -289,6 +304,8 @@ class _RowSums:
 
     def __init__(self, size: int, width: int):
         self.sums = np.zeros((size, width))
+        # The cells of each row, as one vector holds them.
+        self.cells = np.arange(size * width).reshape(size, width)
         self.ids, self.rows, self.waiting = [], [], 0
 
     def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
@@ -301,7 +318,7 @@ class _RowSums:
     def total(self) -> np.ndarray:
         if self.waiting:
             size, width = self.sums.shape
-            cells = np.concatenate(self.ids)[:, None] * width + np.arange(width)
+            cells = self.cells.take(np.concatenate(self.ids), 0)
             self.sums += np.bincount(cells.ravel(), np.concatenate(self.rows).ravel(), size * width).reshape(size, width)
             self.ids, self.rows, self.waiting = [], [], 0
         return self.sums
@@ -334,7 +351,8 @@ def train(prepared: DataFrame, tokenizer: str) -> Attention:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["id", "c0"])
 
     kept = prepared.where("part < 0").select("ids")
-    kept = kept.coalesce(spread(kept, ROUND_MB, F.octet_length("ids")))
+    cores = prepared.sparkSession.sparkContext.defaultParallelism
+    kept = kept.coalesce(spread(kept, ROUND_MB, F.octet_length("ids"), cores))
     counts = _summed(kept, count, 1, size)[:, 0]
     model.begin(counts)
     rows = size + (len(_LEARNT) - 1) * WIDTH * TOPICS // (TOPICS + WIDTH)
@@ -363,23 +381,49 @@ def train(prepared: DataFrame, tokenizer: str) -> Attention:
     return model
 
 
-def hashed_words(column) -> tuple[np.ndarray, np.ndarray]:
-    """The number of words of each text, and the hashes of all words in a row."""
-    counts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+@lru_cache(maxsize=1)
+def _tokens(tokenizer: str) -> WordTokens:
+    """Once per worker process: later tasks know the pieces of earlier ones."""
+    return WordTokens(tokenizer, KNOWN_PIECES)
+
+
+def read_words(tokens: WordTokens, column, end: int) -> tuple[np.ndarray, ...]:
+    """The number of words of each text; the distinct hashes of lower-cased words, and which of them each word in a row
+    has; the ids of the texts with ``end`` behind each, and the places between the texts.
+
+    No piece of the tokenizer's spans white space, so each spelling of a word is encoded once in each part of the texts.
+    Spellings are told apart in upper and lower case, which special tokens are found by.
+    """
+    import pyarrow as pa
+
+    counts, sizes, hashes, which, ids = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], [], [np.zeros(0, np.int64)], []
+    known = 0
     for a, b in column_slices(column, ENCODE_BYTES):
         data, offsets = text_buffers(column.slice(a, b - a))
-        data = lower_ascii(data)
-        starts, ends, upto = word_spans(data, offsets, SPACED_WORD_BYTES)
+        low = lower_ascii(data)
+        starts, ends, upto = word_spans(low, offsets, SPACED_WORD_BYTES)
+        lowered = span_hashes(low, starts, ends)
+        spelt = lowered.copy()
+        upper = np.unique(np.searchsorted(starts, np.flatnonzero(data != low), side="right") - 1)
+        spelt[upper] = span_hashes(data, starts[upper], ends[upper])
+        distinct, of = np.unique(spelt, return_inverse=True)
+        one = np.empty(len(distinct), np.int64)
+        one[of] = np.arange(len(of))
+        size = ends[one] - starts[one]
+        borders = np.concatenate([[0], np.cumsum(size)])
+        octets = data[ranges(starts[one], size)]
+        words = pa.LargeStringArray.from_buffers(len(one), pa.py_buffer(borders), pa.py_buffer(octets))
+        flat, at = tokens.encode(words)
+        of_word = np.diff(at)[of]
+        ids.append(flat[ranges(at[:-1][of], of_word)])
+        sizes.append(np.diff(np.concatenate([[0], np.cumsum(of_word)])[upto]))
         counts.append(np.diff(upto))
-        hashes.append(span_hashes(data, starts, ends))
-    return np.concatenate(counts), np.concatenate(hashes)
-
-
-def encoded(tokens: WordTokens, column, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and borders of texts with ``end`` behind each, worked on in smaller parts than the words are."""
-    parts = [tokens.encode(column.slice(a, b - a)) for a, b in column_slices(column, ENCODE_BYTES)]
-    sizes = np.concatenate([np.zeros(1, np.int64), *[np.diff(at) for _, at in parts]])
-    return with_ends(np.concatenate([np.zeros(0, np.uint32), *[ids for ids, _ in parts]]), np.cumsum(sizes), end)
+        hashes.append(lowered[one])
+        which.append(known + of)
+        known += len(one)
+    word, of = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes]), return_inverse=True)
+    flat = np.concatenate([np.zeros(0, np.uint32), *ids])
+    return np.concatenate(counts), word, of[np.concatenate(which)], *with_ends(flat, np.cumsum(np.concatenate(sizes)), end)
 
 
 def _texts(blob: bytes) -> tuple[list[np.ndarray], np.ndarray]:
@@ -434,7 +478,7 @@ def prepare(docs: DataFrame, tokenizer: str, groups: int, key: str = "doc_id", t
         import pyarrow as pa
         from pyspark import TaskContext
 
-        tokens = WordTokens(tokenizer)
+        tokens = _tokens(tokenizer)
         end = tokens.library.get_vocab_size()
         short = np.uint16 if end < 1 << 16 else np.uint32
         number = 0
@@ -443,14 +487,15 @@ def prepare(docs: DataFrame, tokenizer: str, groups: int, key: str = "doc_id", t
                 run = TaskContext.get().partitionId() << 24 | number
                 number += 1
                 n = part.num_rows
-                words, hashes = hashed_words(part.column(1))
+                words, word, of, ids, borders = read_words(tokens, part.column(1), end)
                 row = np.concatenate([np.repeat(np.arange(n), words), np.arange(n)])
-                hashes = np.concatenate([hashes, np.full(n, END_WORD)])
-                word, of = np.unique(hashes, return_inverse=True)
+                # The end takes its place among the words, which are in order.
+                place = int(np.searchsorted(word, END_WORD))
+                word = np.insert(word, place, END_WORD)
+                of = np.concatenate([of + (of >= place), np.full(n, place)])
                 out = np.array([held_out(k) for k in part.column(0).to_pylist()], bool)
                 trained = np.bincount(of[~out[row]], minlength=len(word))
                 cell, times = np.unique(row * len(word) + of, return_counts=True)
-                ids, borders = encoded(tokens, part.column(1), end)
                 group = ((word >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
                 per_row = np.bincount(cell // len(word), minlength=n)
                 keys = pa.BufferOutputStream()
