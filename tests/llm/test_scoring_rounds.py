@@ -89,3 +89,19 @@ def test_pieces_and_work_arrays_are_kept():
     batch = np.arange(96 * 48).reshape(96, 48) % 30
     first, second = (model.shares(batch)[1] for _ in range(2))
     assert first is second or np.shares_memory(first, second)
+
+
+def test_a_round_unpacks_its_own_texts_only(monkeypatch):
+    for n in (1, 15, 16, 40, 100):
+        texts = [np.full(i % 9, i, np.uint16) for i in range(n)]
+        out = np.arange(n) % 7 == 2
+        dealt = scoring._dealt(np.concatenate(texts), np.cumsum([0, *map(len, texts)]), out)
+        assert [t.tolist() for t in scoring._texts(dealt, out)] == [t.tolist() for t in texts]
+        trained = [t.tolist() for t, held in zip(texts, out, strict=True) if not held]
+        for rounds in (1, 3, scoring.ROUNDS):
+            for r in range(rounds):
+                assert [t.tolist() for t in scoring._round_texts(dealt, r, rounds)] == trained[r::rounds]
+    unpacked, arrays = [], scoring._arrays
+    monkeypatch.setattr(scoring, "_arrays", lambda blob: (unpacked.append(len(blob)), arrays(blob))[1])
+    scoring._round_texts(dealt, 3, scoring.ROUNDS)
+    assert len(unpacked) == 1

@@ -345,7 +345,7 @@ def train(prepared: DataFrame, tokenizer: str) -> Attention:
         n = np.zeros(size, np.int64)
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                for t in _training_texts(blob):
+                for t in _round_texts(blob):
                     n += np.bincount(t, minlength=size)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["id", "c0"])
@@ -367,7 +367,7 @@ def train(prepared: DataFrame, tokenizer: str) -> Attention:
             total = np.zeros((rows, TOPICS + WIDTH), np.int64)
             for batch in batches:
                 for blob in batch.column(0).to_pylist():
-                    texts = _training_texts(blob, number, rounds)
+                    texts = _round_texts(blob, number, rounds)
                     if texts:
                         at, sums = shared.value.sums(texts)
                         total[at] += sums
@@ -426,14 +426,45 @@ def read_words(tokens: WordTokens, column, end: int) -> tuple[np.ndarray, ...]:
     return np.concatenate(counts), word, of[np.concatenate(which)], *with_ends(flat, np.cumsum(np.concatenate(sizes)), end)
 
 
-def _texts(blob: bytes) -> tuple[list[np.ndarray], np.ndarray]:
-    """The ids of each text of a slice, and which of them are held out."""
-    ids, borders, out = _arrays(blob)
-    return np.split(ids.astype(np.int64), borders[1:-1]), out
+def _places(out: np.ndarray) -> np.ndarray:
+    """The part of a slice that each text lies in: one for each of the ROUNDS, then that of all held-out texts."""
+    return np.where(out, ROUNDS, (np.cumsum(~out) - 1) % ROUNDS)
+
+
+def _dealt(ids: np.ndarray, borders: np.ndarray, out: np.ndarray) -> bytes:
+    """The ids of a slice in parts, so that a round unpacks what it learns from and no more."""
+    import pickle
+
+    parts, places = [], _places(out)
+    for place in range(ROUNDS + 1):
+        mine = np.flatnonzero(places == place)
+        size = borders[mine + 1] - borders[mine]
+        part = ids[ranges(borders[mine], size)], np.concatenate([[0], np.cumsum(size)]), np.zeros(len(mine), bool)
+        parts.append(_blob(*part))
+    return pickle.dumps(parts)
+
+
+def _texts(dealt: bytes, out: np.ndarray) -> list[np.ndarray]:
+    """The ids of each text of a slice, of which ``out`` are held out."""
+    import pickle
+
+    parts = [iter(_training_texts(part)) for part in pickle.loads(dealt)]
+    return [next(parts[place]) for place in _places(out).tolist()]
+
+
+def _round_texts(dealt: bytes, number: int = 0, rounds: int = 1) -> list[np.ndarray]:
+    """The ids of a slice's training texts, or of those in one of the rounds."""
+    import pickle
+
+    parts = pickle.loads(dealt)[:ROUNDS]
+    if rounds == ROUNDS:
+        return _training_texts(parts[number])
+    found = [_training_texts(part) for part in parts]
+    return [found[i % ROUNDS][i // ROUNDS] for i in range(number, sum(map(len, found)), rounds)]
 
 
 def _training_texts(blob: bytes, first: int = 0, step: int = 1) -> list[np.ndarray]:
-    """The ids of every ``step``-th training text of a slice, from the ``first`` on."""
+    """The ids of every ``step``-th text that is not held out, from the ``first`` on."""
     ids, borders, out = _arrays(blob)
     return [ids[borders[i] : borders[i + 1]].astype(np.int64) for i in np.flatnonzero(~out)[first::step].tolist()]
 
@@ -513,7 +544,7 @@ def prepare(docs: DataFrame, tokenizer: str, groups: int, key: str = "doc_id", t
                     a, b = np.searchsorted(group, g), np.searchsorted(group, g, side="right")
                     parts.append(g)
                     blobs.append(_blob(word[a:b], trained[a:b].astype(np.uint32)))
-                packed = [_blob(ids.astype(short), borders, out), *[None] * (len(parts) - 1)]
+                packed = [_dealt(ids.astype(short), borders, out), *[None] * (len(parts) - 1)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(parts, pa.int64()),
@@ -585,7 +616,7 @@ def score(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
                 "n_tokens": np.bincount(row, times, n).astype(np.int64),
                 "n_known": np.bincount(row, times * (counts > 0), n).astype(np.int64),
                 "logs": np.bincount(row, times * np.log10(counts + 1.0), n),
-                "score": shared.value.score(_texts(own["ids"].iloc[0])[0]),
+                "score": shared.value.score(_texts(own["ids"].iloc[0], out)),
             }
         )
 
