@@ -252,6 +252,62 @@ def test_embeddings_of_extreme_size(spark):
     assert found == {i: (3 if i in (0, 1, 2, 3, 4, 5, 6, 8) else 0, alike[i]) for i in range(10)}
 
 
+def test_embeddings_in_many_strips(spark, monkeypatch):
+    """Strips, blocks and lengths decide only which pairs need no look; many vectors of one direction are dealt by hash."""
+    monkeypatch.setattr(embeddings, "BLOCK", 4)
+    monkeypatch.setattr(embeddings, "STRIP", 2)
+    random = np.random.default_rng(8)
+    centre = random.normal(size=(5, 8))
+    near = [centre[i % 5] + random.normal(size=8) * (0.2 if i % 3 else 0.6) for i in range(160)]
+    near += [random.normal(size=3) for _ in range(60)] + [centre[0] * 2.0**i * 3 for i in range(30)]
+    rows = [(i, np.float32(v).tolist()) for i, v in enumerate(near)] + [(1000 + i, np.float32(near[i]).tolist()) for i in range(0, 220, 7)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    found = by_id(embeddings.deduplicate(frame), "n_links", "component_id", "kept", key="vec_id")
+    assert found == brute.cosine_links(rows, 0.95)
+
+
+def test_embeddings_are_shuffled_a_few_times_only(spark, monkeypatch):
+    """However many pairs of blocks there are (none can be excluded here), what is shuffled follows the vectors."""
+    monkeypatch.setattr(embeddings, "BLOCK", 32)
+    vectors = np.random.default_rng(9).normal(size=(1000, 64)).astype(np.float32)
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<float>")
+
+    def shuffled() -> dict[str, int]:
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        files = [files.apply(i) for i in range(files.size())]
+        return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+    before, during, save = shuffled(), {}, embeddings.saved
+
+    def saved(frame):
+        """Looks before Spark can clean up."""
+        out = save(frame)
+        during.update(shuffled())
+        return out
+
+    monkeypatch.setattr(embeddings, "saved", saved)
+    assert embeddings.deduplicate(frame).where("n_links > 0").count() == 0
+    during.update(shuffled())
+    assert sum(size for name, size in during.items() if name not in before) < 4 * vectors.nbytes
+
+
+def test_links_by_products_are_those_by_trees(monkeypatch):
+    """Products in single precision leave what is close to the threshold to doubles."""
+    random = np.random.default_rng(10)
+    x = random.normal(size=(1, 6)) + random.normal(size=(120, 6)) * 0.3
+    unit = embeddings.units(x)
+    x = embeddings.scaled(x)
+    one, other = (embeddings.Block(x[part], embeddings.cover_levels(unit[part])) for part in (slice(0, 70), slice(70, 120)))
+    cosines = embeddings._cosines(one, other, np.arange(70).repeat(50), np.tile(np.arange(50), 70))
+    monkeypatch.setattr(embeddings, "TILE", (16, 32))
+    for least in sorted(cosines)[::500]:
+        wanted = np.stack(np.nonzero((cosines >= least).reshape(70, 50)), 1).tolist()
+        monkeypatch.setattr(embeddings, "NODE_COST", 0)
+        by_trees = sorted(embeddings.dual_links(one, other, least).tolist())
+        monkeypatch.setattr(embeddings, "NODE_COST", 1 << 30)
+        assert by_trees == sorted(embeddings.dual_links(one, other, least).tolist()) == wanted
+
+
 def test_cover_tree_covers():
     points = np.random.default_rng(3).normal(size=(200, 5))
     points /= np.linalg.norm(points, axis=1, keepdims=True)
