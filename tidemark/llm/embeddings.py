@@ -29,8 +29,8 @@ SAMPLE_BYTES = 16 << 20
 MARGIN = 1e-6
 # Below this radius a node is opened into its points at once.
 LEAST_RADIUS = 0.05
-# A pair of nodes costs as much as so many products of points side by side.
-NODE_COST = 128
+# A level's pairs of nodes are looked at if so many times as many pairs of points would not take less time.
+NODE_COST = 512
 # Rows and columns of a part of such products, which stays in the processor's cache.
 TILE = (256, 1_024)
 
@@ -173,23 +173,27 @@ class Block:
     """Vectors, scaled, with their norms and their cover tree."""
 
     def __init__(self, x: np.ndarray, levels: Levels):
-        self.x = x
-        self.levels = [(centres, parent, radius.astype(np.float64)) for centres, parent, radius in levels]
+        self.x, self.levels = x, levels
         wide = x.astype(np.float64)
         self.norm = np.linalg.norm(wide, axis=1)
         self.narrow_units = (wide / self.norm[:, None]).astype(np.float32)
+        self._below: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def __len__(self) -> int:
         return len(self.x)
 
-    def units(self, rows: np.ndarray) -> np.ndarray:
-        return self.x[rows].astype(np.float64) / self.norm[rows, None]
+    def level(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Centres and radii; below the last level it stays as it is."""
+        centres, _, radius = self.levels[min(k, len(self.levels) - 1)]
+        return centres, radius.astype(np.float64)
 
-    def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if k < len(self.levels):
-            return self.levels[k]
-        last = self.levels[-1][0]
-        return last, np.arange(len(last)), np.zeros(len(last))
+    def below(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Children at level ``k`` by parent, where each parent's begin, and how many it has."""
+        if k not in self._below:
+            parent = self.levels[k][1] if k < len(self.levels) else np.arange(len(self.levels[-1][0]))
+            count = np.bincount(parent)
+            self._below[k] = np.argsort(parent, kind="stable"), np.cumsum(count) - count, count
+        return self._below[k]
 
 
 def dual_links(a: Block, b: Block, least: float) -> np.ndarray:
@@ -197,28 +201,25 @@ def dual_links(a: Block, b: Block, least: float) -> np.ndarray:
 
     Both cover trees are walked together from their roots. A pair of nodes goes on to its children only if the
     distance of their centres, less both covering radii, does not exceed the distance that the cosine allows. Where
-    that leaves so many pairs of nodes that it takes longer than all pairs of points, those are multiplied instead.
+    that leaves so many pairs of nodes that all pairs of points take less time, those are multiplied instead.
     """
     limit = np.sqrt(max(0.0, 2 - 2 * least)) + MARGIN
-    both = np.ones((1, 1), bool)
+    i = j = np.zeros(1, np.int64)
     for level in range(max(len(a.levels), len(b.levels))):
-        (ca, pa, ra), (cb, pb, rb) = a.level(level), b.level(level)
         if level:
-            i, j = np.nonzero(both)
-            if not len(i):
-                return np.zeros((0, 2), np.int64)
-            opened = np.bincount(pa, minlength=both.shape[0])[i] @ np.bincount(pb, minlength=both.shape[1])[j]
-            if NODE_COST * opened >= len(a) * len(b):
+            (ia, sa, na), (jb, sb, nb) = a.below(level), b.below(level)
+            opened = na[i] * nb[j]
+            if NODE_COST * opened.sum() >= len(a) * len(b):
                 return _all_pairs(a, b, least)
-            both = both[pa][:, pb]
-        left = np.count_nonzero(both)
-        if 16 * left < both.size:
-            i, j = np.nonzero(both)
-            near = _cosines(a, b, ca[i], cb[j]) >= 1 - (ra[i] + rb[j] + limit) ** 2 / 2
-            both[i[~near], j[~near]] = False
-        else:
-            both &= a.units(ca) @ b.units(cb).T >= 1 - (ra[:, None] + (rb[None, :] + limit)) ** 2 / 2
-    i, j = np.nonzero(both)
+            pair = np.repeat(np.arange(len(i)), opened)
+            nth = np.arange(len(pair)) - (np.cumsum(opened) - opened)[pair]
+            i, j = i[pair], j[pair]
+            i, j = ia[sa[i] + nth // nb[j]], jb[sb[j] + nth % nb[j]]
+        (ca, ra), (cb, rb) = a.level(level), b.level(level)
+        near = _cosines(a, b, ca[i], cb[j]) >= 1 - (ra[i] + rb[j] + limit) ** 2 / 2
+        i, j = i[near], j[near]
+        if not len(i):
+            return np.zeros((0, 2), np.int64)
     i, j = ca[i], cb[j]
     good = _cosines(a, b, i, j) >= least
     return np.stack([i[good], j[good]], 1)
