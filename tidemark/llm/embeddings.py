@@ -412,7 +412,8 @@ def _strips(sound: DataFrame, kind: T.DataType) -> DataFrame:
     leaves = {size: -(-n[size] // most[size]) for size in sorted(n)}
     splits = _sampled_splits(sound, n, leaves)
     first = {size: sum(leaves[s] for s in leaves if s < size) for size in leaves}
-    parts = max(1, min(sum(leaves.values()), 6), -(-sum(leaves.values()) // STRIPS_AT_ONCE))
+    total = sum(leaves.values())
+    parts = max(1, min(total, 6), -(-total // STRIPS_AT_ONCE))
     number = np.float32 if narrow else np.float64
 
     def place(batches: Iterator) -> Iterator:
@@ -475,7 +476,7 @@ def _strips(sound: DataFrame, kind: T.DataType) -> DataFrame:
         lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in lists]
         centre = unit.mean(0)
         radius = float(np.linalg.norm(unit - centre, axis=1).max())
-        numbers = [pa.array([(leaf << 24) + made], pa.int64()), pa.array([size], pa.int32())]
+        numbers = [pa.array([made * total + leaf], pa.int64()), pa.array([size], pa.int32())]
         ball = [pa.array([centre.tolist()], pa.list_(pa.float64())), pa.array([radius], pa.float64())]
         return pa.RecordBatch.from_arrays(
             [*numbers, *lists, *ball, pa.array([pickle.dumps(blocks, protocol=5)], pa.binary())],
